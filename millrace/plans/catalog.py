@@ -4,7 +4,7 @@ from importlib import import_module
 
 from . import registry
 
-MODULES = ["customers"]
+MODULES = ["customers", "feeds", "cleaning"]
 
 
 def load():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,3 +43,11 @@ def materialise(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="millrace-checkpoint-"))
     return df.checkpoint()
+
+
+def scratch(spark, label):
+    """Fresh folder for written tables, beside the shared checkpoints where those are set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return tempfile.mkdtemp(prefix=f"millrace-{label}-") + "/data"
