@@ -29,7 +29,9 @@ def fill_median(df, cols) -> DataFrame:
     medians = ordered.wide_quantiles(df, cols, [0.5]).select(
         F.struct(*[F.get(f"q_{c}", F.lit(0)).alias(c) for c in cols]).alias("m")
     ).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c), medians[c]) for c in cols})
+    # One column for the subquery: naming it per column would plan it as often.
+    known = df.withColumn("_m", medians)
+    return known.withColumns({c: F.coalesce(F.col(c), F.col(f"_m.{c}")) for c in cols}).drop("_m")
 
 
 def fill_group_median(df, cols, by) -> DataFrame:
@@ -63,9 +65,9 @@ def winsorize(df, cols, low=0.01, high=0.99) -> DataFrame:
     bounds = ordered.wide_quantiles(df, cols, [low, high]).select(
         F.struct(*[F.col(f"q_{c}").alias(c) for c in cols]).alias("b")
     ).scalar()
-    return df.withColumns(
-        {c: x.clip(F.col(c), F.get(bounds[c], F.lit(0)), F.get(bounds[c], F.lit(1))) for c in cols}
-    )
+    known = df.withColumn("_b", bounds)
+    bound = lambda c, i: F.get(F.col(f"_b.{c}"), F.lit(i))
+    return known.withColumns({c: x.clip(F.col(c), bound(c, 0), bound(c, 1)) for c in cols}).drop("_b")
 
 
 def floor_at_smallest_positive(df, col, name) -> DataFrame:

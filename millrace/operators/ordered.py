@@ -74,26 +74,28 @@ def same_keys(left, right, keys):
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def running(df: DataFrame, keys, order, sums, block: Column) -> DataFrame:
+def running(df: DataFrame, keys, order, sums, block: Column, totals=False) -> DataFrame:
     """Add running totals (current row included) per ``keys`` along ``order``.
 
     ``sums`` maps new column names to the summed expressions, ``order`` must be
-    total and ``block`` must not decrease along it.
+    total and ``block`` must not decrease along it.  With ``totals`` the group's
+    grand total comes along as ``<name>_total``.
     """
     keys = list(keys)
     parts = df.withColumn("_block", block)
     for name, expression in sums.items():
         parts = parts.withColumn(f"_v_{name}", expression)
-    totals = parts.groupBy(*keys, "_block").agg(
+    per_block = parts.groupBy(*keys, "_block").agg(
         *[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums]
     )
-    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = totals.select(
+    group = Window.partitionBy(*(keys or [F.lit(0)]))
+    before = group.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    grand = [F.sum(f"_t_{n}").over(group).alias(f"{n}_total") for n in sums] if totals else []
+    offsets = per_block.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         F.col("_block").alias("_k_block"),
         *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums],
+        *grand,
     )
     match = reduce(
         lambda a, b: a & b,
@@ -106,12 +108,13 @@ def running(df: DataFrame, keys, order, sums, block: Column) -> DataFrame:
     return parts.join(offsets, match).select(
         *df.columns,
         *[(F.sum(f"_v_{n}").over(inside) + F.col(f"_o_{n}")).alias(n) for n in sums],
+        *([f"{n}_total" for n in sums] if totals else []),
     )
 
 
-def number_rows(df: DataFrame, keys, order, block: Column, name="row_no") -> DataFrame:
+def number_rows(df: DataFrame, keys, order, block: Column, name="row_no", totals=False) -> DataFrame:
     """Exact ``row_number`` per ``keys`` for groups of any size."""
-    return running(df, keys, order, {name: F.lit(1).cast("long")}, block)
+    return running(df, keys, order, {name: F.lit(1).cast("long")}, block, totals)
 
 
 def with_group(df: DataFrame, keys, aggregates) -> DataFrame:
@@ -153,8 +156,9 @@ def quantiles(df: DataFrame, columns, probabilities, by=()) -> DataFrame:
         F.lit(0),
     )
     keys = [*by, "column"]
-    ranked = running(counts, keys, ["value"], {"_upto": F.col("_n")}, block)
-    sized = with_group(ranked, keys, [F.sum("_n").alias("n")])
+    sized = running(counts, keys, ["value"], {"_upto": F.col("_n")}, block, totals=True).withColumnRenamed(
+        "_upto_total", "n"
+    )
     before = F.col("_upto") - F.col("_n")
     picks = []
     for i, p in enumerate(probabilities):

@@ -33,22 +33,18 @@ def one_per_group(df, by, key, seed=42) -> DataFrame:
     return df.groupBy(*by).agg(pick.alias("_row")).select(*by, "_row.*")
 
 
-def numbered(df, by, key, seed, name="row_no") -> DataFrame:
+def numbered(df, by, key, seed, name="row_no", totals=False) -> DataFrame:
     """Row numbers per group in digest order."""
     hashed = df.withColumn("_h", digest(key, seed))
-    return ordered.number_rows(hashed, by, ["_h", key], ordered.hash_block(F.col("_h")), name).drop("_h")
+    block = ordered.hash_block(F.col("_h"))
+    return ordered.number_rows(hashed, by, ["_h", key], block, name, totals).drop("_h")
 
 
 def split(df, key, fraction=0.8, seed=42, by=()) -> DataFrame:
     """Flag ``is_first`` for exactly floor(fraction * n) rows, per group where ``by`` is given."""
-    by = list(by)
-    ranked = numbered(df, by, key, seed, "_no")
-    if by:
-        ranked = ordered.with_group(ranked, by, [F.count(F.lit(1)).alias("_n")])
-    else:
-        ranked = ranked.withColumn("_n", df.agg(F.count(F.lit(1))).scalar())
-    limit = F.floor(F.lit(float(fraction)) * F.col("_n"))
-    return ranked.withColumn("is_first", F.col("_no") <= limit).drop("_no", "_n")
+    ranked = numbered(df, list(by), key, seed, "_no", totals=True)
+    limit = F.floor(F.lit(float(fraction)) * F.col("_no_total"))
+    return ranked.withColumn("is_first", F.col("_no") <= limit).drop("_no", "_no_total")
 
 
 def minibatches(df, key, size=32, epochs=10, seed=42) -> DataFrame:
