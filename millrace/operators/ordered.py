@@ -52,7 +52,11 @@ def block_of(value: Column, cuts) -> Column:
 
 
 def number_block(df: DataFrame, column: str, descending=False) -> Column:
-    """Block expression of a numeric column with cuts taken from ``df``."""
+    """Block expression of a numeric column with cuts taken from ``df``.
+
+    Any frame with a like-distributed column of that name will do, such as the
+    stored table behind a costly ``df``.
+    """
     index = block_of(F.col(column).cast("double"), cut_points(df, [column])[column])
     return -index if descending else index
 
