@@ -80,6 +80,8 @@ def _label_ticker(entries, bars):
     sell, days = bars["sell"].to_numpy(bool), bars["date"].to_numpy()
     where = {d: i for i, d in enumerate(days)}
     entries = entries[entries["entry_date"].isin(where)]
+    if entries.empty:
+        return entries.assign(exit_date=None, exit_price=None, exit_reason=None).astype(object)
     out = []
     for e in entries.itertuples(index=False):
         target = round(e.entry_price * (1 + e.take_profit_pct), 2)
@@ -118,6 +120,7 @@ def label_exits(entries, bars, sentiment=None, rules=None) -> DataFrame:
     else:
         marked = marked.withColumn("sell", F.lit(False))
     marked = marked.select("ticker", "date", "open", "high", "low", "close", "ma50", F.coalesce("sell", F.lit(False)).alias("sell"))
+    marked = marked.join(entries.select("ticker").distinct(), "ticker", "left_semi")
     schema = EXIT_SCHEMA.format(ticker=entries.schema["ticker"].dataType.simpleString())
     columns = [c.split()[0] for c in schema.split(", ")][:-3]
     typed = entries.select(
