@@ -27,16 +27,23 @@ def keywords(spark):
     )
 
 
-GRAMS = "CASE WHEN length({0}) >= 3 THEN list_distinct(list_transform(generate_series(1, length({0}) - 2), i -> substr(lower({0}), i, 3))) ELSE [] END"
+CHARS = "string_split(lower({0}), '')"
+GRAMS = (
+    "CASE WHEN length({0}) >= 3 THEN list_distinct(list_transform(list_zip("
+    + "{c}[:-3], {c}[2:-2], {c}[3:]".replace("{c}", CHARS)
+    + "), lambda x: x[1] || x[2] || x[3])) ELSE [] END"
+)
 v.SQL["v_page"] = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker, day ORDER BY created_at DESC, doc_id DESC) AS pos FROM v_news) WHERE pos <= 30"""
 v.SQL["v_unique"] = f"""
-WITH RECURSIVE g AS (SELECT ticker, day, doc_id, pos, {GRAMS.format('headline')} AS grams FROM v_page),
-pairs AS (SELECT a.ticker, a.day, b.pos, list(a.pos) AS earlier FROM g a JOIN g b ON a.ticker = b.ticker AND a.day = b.day AND a.pos < b.pos
-  AND least(len(a.grams), len(b.grams)) >= 0.72 * greatest(len(a.grams), len(b.grams)) AND len(b.grams) > 0
- WHERE len(list_intersect(a.grams, b.grams))::double / (len(a.grams) + len(b.grams) - len(list_intersect(a.grams, b.grams))) >= 0.72 GROUP BY ALL),
-fold AS (SELECT DISTINCT ticker, day, 0::bigint AS i, []::bigint[] AS kept FROM g
+WITH RECURSIVE g AS MATERIALIZED (SELECT ticker, day, doc_id, pos, {GRAMS.format('headline')} AS grams FROM v_page),
+x AS MATERIALIZED (SELECT ticker, day, pos, len(grams) AS n, unnest(grams) AS gram FROM g),
+shared AS (SELECT a.ticker, a.day, a.pos AS ap, b.pos AS bp, a.n AS an, b.n AS bn, count(*) AS c FROM x a JOIN x b ON a.ticker = b.ticker AND a.day = b.day AND a.gram = b.gram
+ WHERE a.pos < b.pos AND least(a.n, b.n) >= 0.72 * greatest(a.n, b.n) GROUP BY ALL),
+pairs AS MATERIALIZED (SELECT ticker, day, bp AS pos, list(ap) AS earlier FROM shared WHERE c::double / (an + bn - c) >= 0.72 GROUP BY ALL),
+places AS MATERIALIZED (SELECT g.ticker, g.day, g.pos, p.earlier FROM g LEFT JOIN pairs p ON p.ticker = g.ticker AND p.day = g.day AND p.pos = g.pos),
+fold AS (SELECT DISTINCT ticker, day, 0::bigint AS i, []::bigint[] AS kept FROM places
  UNION ALL SELECT f.ticker, f.day, f.i + 1, CASE WHEN p.earlier IS NOT NULL AND list_has_any(p.earlier, f.kept) THEN f.kept ELSE list_append(f.kept, f.i + 1) END
- FROM fold f JOIN g ON g.ticker = f.ticker AND g.day = f.day AND g.pos = f.i + 1 LEFT JOIN pairs p ON p.ticker = g.ticker AND p.day = g.day AND p.pos = g.pos),
+ FROM fold f JOIN places p ON p.ticker = f.ticker AND p.day = f.day AND p.pos = f.i + 1),
 last AS (SELECT ticker, day, arg_max(kept, i) AS kept FROM fold GROUP BY ALL)
 SELECT n.* FROM v_page n JOIN last l ON l.ticker = n.ticker AND l.day = n.day AND list_contains(l.kept, n.pos)
 """
@@ -147,7 +154,7 @@ def q_tradeable(spark, folder):
 
 @query(
     "q_sentiment_series",
-    """SELECT t.ticker, d.day, round(coalesce(score, 5.0), 6) AS score, coalesce(score, 5.0) <> 5.0 AS is_real
+    """SELECT t.ticker, d.day, round(coalesce(score, 5.0), 6) AS score, round(coalesce(score, 5.0), 2) <> 5.0 AS is_real
 FROM (SELECT DISTINCT ticker FROM v_daily) t, (SELECT DISTINCT day FROM v_news) d LEFT JOIN v_daily x ON x.ticker = t.ticker AND x.day = d.day""",
 )
 def q_sentiment_series(spark, folder):
@@ -268,7 +275,7 @@ def q_math_funcs(spark, folder):
 @query(
     "q_array_funcs",
     """SELECT vec_id, embedding[1]::double AS first, (list_position(embedding, list_max(embedding)) - 1)::bigint AS best, len(list_distinct(embedding))::bigint AS n_distinct,
- list_transform(generate_series(0, 9), i -> CASE WHEN i = label % 10 THEN 1 ELSE 0 END)::varchar AS hot FROM embeddings""",
+ list_transform(generate_series(0, 9), lambda i: CASE WHEN i = label % 10 THEN 1 ELSE 0 END)::varchar AS hot FROM embeddings""",
 )
 def q_array_funcs(spark, folder):
     e = F.col("embedding")
