@@ -4,7 +4,7 @@ from importlib import import_module
 
 from . import registry
 
-MODULES = ["customers", "feeds", "cleaning", "joining", "summaries", "trading", "texts", "models"]
+MODULES = ["customers", "feeds", "cleaning", "joining", "summaries", "trading", "texts", "models", "streams"]
 
 
 def load():
