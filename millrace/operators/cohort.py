@@ -115,9 +115,11 @@ def week_spine(conversions, last_week) -> DataFrame:
 def customer_info(orders, conversions, customers, dates_dim) -> DataFrame:
     """Dense customer x conversion x week table, twenty columns.
 
-    The weekly sums meet the spine in one shuffle by customer, which the two
-    running windows then reuse; both sides have at most one row per customer
-    and week (per conversion), so no group grows beyond the calendar.
+    Running sums only move in weeks with orders, so they are taken over the
+    weeks in which something happens (an order or a conversion).  Each such week
+    is then stretched to the week before the next one; the dense rows appear in
+    that last, narrow step and are never shuffled.  A customer has at most one
+    row per week in every window.
     """
     weeks = dates_dim.select("sk_date", "running_week", "year_week")
     labels = dates_dim.select(F.col("running_week").alias("week"), F.col("year_week").alias("order_week")).distinct()
@@ -127,40 +129,64 @@ def customer_info(orders, conversions, customers, dates_dim) -> DataFrame:
         F.sum("price_paid").alias("first_order_total_paid"),
     )
     numbered = numbered_conversions(conversions, customers, weeks).join(first, "order_number", "left")
-    spine = week_spine(numbered, dates_dim.agg(F.max("running_week")).scalar()).withColumn(
-        "is_spine", F.lit(True)
+    last_week = dates_dim.agg(F.max("running_week")).scalar()
+    end = F.coalesce(F.col("next_run_week") - 1, last_week)
+    details = [c for c in CUSTOMER_INFO.names if c in numbered.columns and c != "customer_id"]
+    # A conversion followed by another one in the same week has no week of its own.
+    starts = numbered.withColumn("end_week", end).filter(F.col("end_week") >= F.col("running_week")).select(
+        "customer_id",
+        F.col("running_week").alias("week"),
+        F.struct(*details, F.col("running_week").alias("start_week"), "end_week").alias("conversion"),
     )
     # count > 0 is what the distinct count is compared with, and needs no second pass
-    weekly = lines.groupBy("customer_id", F.col("running_week").alias("week")).agg(
-        (F.count("order_number") > 0).alias("placed"),
+    weekly = lines.filter(F.col("customer_id").isNotNull()).groupBy("customer_id", F.col("running_week").alias("week")).agg(
+        (F.count("order_number") > 0).cast("int").alias("placed"),
         F.sum("price_before_discount").alias("before"),
         F.sum("discount_value").alias("discounts"),
         F.sum("price_paid").alias("paid"),
     )
-    both = spine.unionByName(weekly, allowMissingColumns=True)
+    # Both sides have one row per customer and week, so the rows of a week meet in neighbours.
     same_week = Window.partitionBy("customer_id", "week")
-    zero = F.lit(0).cast(AMOUNT)
-    attached = (
-        both.repartition("customer_id")
+    in_life = Window.partitionBy("customer_id").orderBy("week")
+    moved = (
+        starts.unionByName(weekly, allowMissingColumns=True)
+        .repartition("customer_id")
         .withColumns(
             {
-                "orders_placed": F.coalesce(F.max("placed").over(same_week), F.lit(False)).cast("int"),
-                "total_before_discounts": F.coalesce(F.max("before").over(same_week), zero),
-                "total_discounts": F.coalesce(F.max("discounts").over(same_week), zero),
-                "total_paid_in_week": F.coalesce(F.max("paid").over(same_week), zero),
+                **{c: F.max(c).over(same_week) for c in ("placed", "before", "discounts", "paid")},
+                "_both": F.count(F.lit(1)).over(same_week),
             }
         )
-        .filter("is_spine")
+        # Where a conversion and orders share a week, the conversion's row holds both.
+        .filter((F.col("_both") == 1) | F.col("conversion").isNotNull())
+        .withColumn("conversion", F.last("conversion", ignorenulls=True).over(in_life))
+        .filter(F.col("conversion").isNotNull())
     )
-    in_conversion = Window.partitionBy("customer_id", "conversion_id").orderBy("week")
-    in_life = Window.partitionBy("customer_id").orderBy("week")
-    running = attached.withColumns(
+    in_conversion = Window.partitionBy("customer_id", "conversion.conversion_id").orderBy("week")
+    zero = F.lit(0).cast(AMOUNT)
+    spans = moved.withColumns(
         {
-            "conversion_cumulative_revenue": F.sum("total_paid_in_week").over(in_conversion),
-            "lifetime_cumulative_revenue": F.sum("total_paid_in_week").over(in_life),
+            "until": F.coalesce(F.lead("week").over(in_life) - 1, F.col("conversion.end_week")),
+            "lifetime_cumulative_revenue": F.coalesce(F.sum("paid").over(in_life), zero),
+            "conversion_cumulative_revenue": F.coalesce(F.sum("paid").over(in_conversion), zero),
         }
-    ).join(labels, "week", "left")
-    return running.select(*[F.col(f.name) for f in CUSTOMER_INFO])
+    )
+    dense = spans.select("*", F.posexplode(F.sequence("week", "until")).alias("_pos", "_week")).drop("week")
+    happened = F.col("_pos") == 0
+    only = lambda c, other: F.when(happened, F.coalesce(c, other)).otherwise(other)
+    filled = dense.select(
+        "customer_id",
+        "conversion.*",
+        F.col("_week").alias("week"),
+        (F.col("_week") - F.col("conversion.start_week") + 1).alias("week_counter"),
+        only(F.col("placed"), F.lit(0)).alias("orders_placed"),
+        only(F.col("before"), zero).alias("total_before_discounts"),
+        only(F.col("discounts"), zero).alias("total_discounts"),
+        only(F.col("paid"), zero).alias("total_paid_in_week"),
+        "conversion_cumulative_revenue",
+        "lifetime_cumulative_revenue",
+    )
+    return filled.join(labels, "week", "left").select(*CUSTOMER_INFO.names)
 
 
 def write_customer_info(df, table, mode="append"):

@@ -74,47 +74,65 @@ def rebase(c, key="ticker", order="date") -> Column:
 def ewm(df, inputs, alpha, min_periods, key="ticker", order="date") -> DataFrame:
     """Recursive exponential mean ``y = a*x + (1-a)*y_before``, started at the first value.
 
-    ``inputs`` maps result names to input columns; leading nulls are skipped and
-    results are null until ``min_periods`` values were seen.  Rows are cut into
-    blocks short enough for ``(1-a)**-rows`` to stay in range; inside a block
-    the recursion is one weighted running sum, and from the block before only
-    its last value can still count in double precision.
+    ``inputs`` maps result names to input columns; leading nulls are skipped,
+    nulls after the first value are refused, and results are null until
+    ``min_periods`` values were seen.  Rows are cut into blocks short enough for
+    ``(1-a)**-rows`` to stay in range; inside a block the recursion is one
+    weighted running sum, and from the block before only its last value can
+    still count in double precision.  All inputs share the same three windows.
     """
     keep = 1.0 - alpha
     block_rows = max(1, int(150 * math.log(10) / -math.log(keep)))
-    out = df
+    seen = by_time(key, order).rowsBetween(Window.unboundedPreceding, 0)
+    before = by_time(key, order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(key, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    row = F.row_number().over(by_time(key, order)) - 1
+    out = df.withColumns({"_row": row, **{f"_n_{n}": F.count(c).over(seen) for n, c in inputs.items()}})
+    out = out.withColumns({"_b": F.floor(F.col("_row") / block_rows), "_j": F.col("_row") % block_rows})
+    sums = {}
     for name, source in inputs.items():
-        seen = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        before = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        inside = Window.partitionBy(key, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        out = out.withColumn("_i", F.count(source).over(seen) - 1)
-        out = out.withColumns(
-            {"_b": F.floor(F.col("_i") / block_rows), "_j": F.col("_i") % block_rows}
-        )
-        weight = F.when(F.col("_i") == 0, F.lit(1.0)).otherwise(F.lit(alpha))
-        term = F.col(source) * weight * F.pow(F.lit(keep), -F.col("_j"))
-        out = out.withColumn("_s", F.sum(term).over(inside) * F.pow(F.lit(keep), F.col("_j")))
-        ends = F.when(F.col(source).isNotNull() & (F.col("_j") == block_rows - 1), F.col("_s"))
-        carried = F.last(ends, ignorenulls=True).over(before)
-        value = F.col("_s") + F.coalesce(carried * F.pow(F.lit(keep), F.col("_j") + 1), F.lit(0.0))
-        enough = F.col(source).isNotNull() & (F.col("_i") + 1 >= min_periods)
-        out = out.withColumn("_y", F.when(enough, value)).drop("_i", "_b", "_j", "_s")
-        out = out.withColumn(name, F.col("_y")).drop("_y")
-    return out
+        gap = F.col(source).isNull() & (F.col(f"_n_{name}") > 0)
+        value = F.when(gap, F.raise_error(F.lit(f"null inside the series of {source}"))).otherwise(F.col(source))
+        weight = F.when(F.col(f"_n_{name}") == 1, F.lit(1.0)).otherwise(F.lit(alpha))
+        term = value * weight * F.pow(F.lit(keep), -F.col("_j"))
+        sums[f"_s_{name}"] = F.sum(term).over(inside) * F.pow(F.lit(keep), F.col("_j"))
+    out = out.withColumns(sums)
+    results = {}
+    for name in inputs:
+        ends = F.when(F.col("_j") == block_rows - 1, F.col(f"_s_{name}"))
+        carried = F.last(ends, ignorenulls=True).over(before) * F.pow(F.lit(keep), F.col("_j") + 1)
+        value = F.col(f"_s_{name}") + F.coalesce(carried, F.lit(0.0))
+        results[name] = F.when(F.col(f"_n_{name}") >= min_periods, value)
+    out = out.withColumns(results)
+    return out.drop("_row", "_b", "_j", *[f"_n_{n}" for n in inputs], *sums)
+
+
+def _moves(bars, key, order):
+    """Gain and loss against the day before; null on the first day."""
+    d = F.col("_d")
+    return bars.withColumn("_d", diff("close", key, order)).withColumns(
+        {
+            "_gain": F.when(d.isNotNull(), F.greatest(d, F.lit(0.0))),
+            "_loss": F.when(d.isNotNull(), F.greatest(-d, F.lit(0.0))),
+        }
+    ).drop("_d")
+
+
+def _strength():
+    return 100 - 100 / (1 + F.col("_ag") / F.nullif(F.col("_al"), F.lit(0.0)))
 
 
 def rsi(bars, period=14, name="rsi", key="ticker", order="date") -> DataFrame:
     """Relative strength index with recursive smoothing; no losses give null."""
-    moved = bars.withColumn("_d", diff("close", key, order)).withColumns(
-        {"_gain": F.greatest("_d", F.lit(0.0)), "_loss": F.greatest(-F.col("_d"), F.lit(0.0))}
-    )
-    first = F.col("_d").isNull()
-    moved = moved.withColumns(
-        {c: F.when(~first, F.col(c)) for c in ("_gain", "_loss")}
-    )
-    smooth = ewm(moved, {"_ag": "_gain", "_al": "_loss"}, 1 / period, period, key, order)
-    strength = F.col("_ag") / F.nullif(F.col("_al"), F.lit(0.0))
-    return smooth.withColumn(name, 100 - 100 / (1 + strength)).drop("_d", "_gain", "_loss", "_ag", "_al")
+    smooth = ewm(_moves(bars, key, order), {"_ag": "_gain", "_al": "_loss"}, 1 / period, period, key, order)
+    return smooth.withColumn(name, _strength()).drop("_gain", "_loss", "_ag", "_al")
+
+
+def rsi_and_atr(bars, period=14, key="ticker", order="date") -> DataFrame:
+    """Both indicators in one pass over the series."""
+    moved = _moves(bars, key, order).withColumn("_tr", true_range(key, order))
+    smooth = ewm(moved, {"_ag": "_gain", "_al": "_loss", "atr": "_tr"}, 1 / period, period, key, order)
+    return smooth.withColumn("rsi", _strength()).drop("_gain", "_loss", "_ag", "_al", "_tr")
 
 
 def true_range(key="ticker", order="date") -> Column:

@@ -31,12 +31,21 @@ def holding_days(trades, calendar) -> DataFrame:
     return days.join(calendar.select("date").distinct(), "date", "left_semi")
 
 
-def enter_next_day(signals, bars) -> DataFrame:
-    """Entry on the ticker's next day at its open; the last day's signals have none."""
+def next_entry(bars, extra=("atr",)) -> DataFrame:
+    """Beside each day the ticker's next one: its date, open and, named ``entry_*``, further columns."""
     w = ts.by_time()
-    nexts = bars.select(
-        "ticker", "date", F.lead("date").over(w).alias("entry_date"), F.lead("open").over(w).alias("entry_price")
+    return bars.withColumns(
+        {
+            "entry_date": F.lead("date").over(w),
+            "entry_price": F.lead("open").over(w),
+            **{f"entry_{c}": F.lead(c).over(w) for c in extra},
+        }
     )
+
+
+def enter_next_day(signals, bars) -> DataFrame:
+    """Entry on the ticker's next day at its open; the last day's signals have none."""
+    nexts = next_entry(bars, ()).select("ticker", "date", "entry_date", "entry_price")
     return signals.join(nexts, ["ticker", "date"]).filter(F.col("entry_date").isNotNull())
 
 

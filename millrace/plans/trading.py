@@ -258,8 +258,8 @@ SELECT *, reason IS NULL AS passes FROM (SELECT t.ticker, t.date, tech_norm, rsi
 
 
 def gated(spark, folder):
-    bars = v.bars(spark, folder)
-    days = signals.tech_score(ts.atr(ts.rsi(bars)))
+    # One pass over the bars: all windows share the partitioning by ticker.
+    days = signals.tech_score(trades.next_entry(ts.rsi_and_atr(v.bars(spark, folder))))
     mood = sentiment(spark, folder).filter("headline_count % 11 <> 0")
     return signals.entry_gates(days, mood, {"sentiment_floor": 3.0})
 
@@ -332,12 +332,12 @@ v.SQL["v_trades"] = f"SELECT x.*, shares, e.date AS signal_date FROM ({exits_sql
 
 
 def entries(spark, folder):
-    bars = v.bars(spark, folder)
-    passed = gated(spark, folder).filter("passes").select("ticker", "date", "rsi", "score", "headline_count")
-    entered = trades.enter_next_day(passed, bars)
-    at_entry = ts.atr(bars).select("ticker", F.col("date").alias("entry_date"), "atr")
-    sized = trades.size(entered.join(at_entry, ["ticker", "entry_date"], "left"))
-    return sized.withColumn("trade_id", F.concat_ws("-", F.col("ticker").cast("string"), F.col("date").cast("string")))
+    passed = gated(spark, folder).filter(F.col("passes") & F.col("entry_date").isNotNull())
+    sized = trades.size(passed.withColumn("atr", F.col("entry_atr")))
+    named = sized.withColumn("trade_id", F.concat_ws("-", F.col("ticker").cast("string"), F.col("date").cast("string")))
+    return named.select(
+        "trade_id", "ticker", "date", "entry_date", "entry_price", "atr", "rsi", "score", "headline_count", "dist", "shares"
+    )
 
 
 def closed(spark, folder):
