@@ -52,7 +52,8 @@ def to_records(images, annotations) -> DataFrame:
 def label_maps(categories, limit=100_000) -> DataFrame:
     """One row with both maps; more than ``limit`` categories are refused (join instead)."""
     pairs = F.collect_list(F.struct("id", "name"))
-    both = categories.groupBy().agg(F.count(F.lit(1)).alias("n"), pairs.alias("p"))
+    # One row beyond the limit is enough to notice too many, and all that is ever collected.
+    both = categories.select("id", "name").limit(limit + 1).agg(F.count(F.lit(1)).alias("n"), pairs.alias("p"))
     checked = F.when(F.col("n") <= limit, F.col("p")).otherwise(F.raise_error(F.lit("too many labels for a map")))
     return both.select(
         F.map_from_entries(checked).alias("id2label"),

@@ -176,7 +176,6 @@ def event_risk(candidates, earnings, days=2) -> DataFrame:
 
 def regime(bench, n=50, bear_slots=2, bull_slots=10) -> DataFrame:
     """Benchmark days with their slots: few below the moving mean, all above it or before it exists."""
-    bench = bench.withColumn("_k", F.lit(1))
-    mean = ts.rolling_mean("close", n, "_k")
-    marked = bench.withColumn("ma", mean).withColumn("bear", F.coalesce(F.col("close") < F.col("ma"), F.lit(False)))
+    means = ts.rolling_means(bench.withColumn("_k", F.lit(1)), "close", {"ma": n}, "_k")
+    marked = means.withColumn("bear", F.coalesce(F.col("close") < F.col("ma"), F.lit(False)))
     return marked.withColumn("slots", F.when(F.col("bear"), bear_slots).otherwise(bull_slots)).drop("_k")

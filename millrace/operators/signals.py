@@ -20,7 +20,7 @@ GATES = {
 
 def tech_score(bars, fast=50, slow=200) -> DataFrame:
     """Trend score and the above-mean flag for days on which both means exist."""
-    both = bars.withColumns({"ma50": ts.rolling_mean("close", fast), "ma200": ts.rolling_mean("close", slow)})
+    both = ts.rolling_means(bars, "close", {"ma50": fast, "ma200": slow})
     gap = (F.col("close") - F.col("ma50")) / F.col("ma50")
     trend = (F.col("ma50") - F.col("ma200")) / F.col("ma200")
     return both.filter(F.col("ma200").isNotNull()).withColumns(

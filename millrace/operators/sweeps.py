@@ -61,24 +61,18 @@ def with_grid(df, params) -> DataFrame:
 def run(entries, bars, params, sentiment=None, min_trades=20) -> DataFrame:
     """Metrics of every parameter set, best return first.
 
-    ``entries`` are gated candidates with ``trade_id, ticker, entry_date,
-    entry_price, atr, rsi, score, headline_count`` under the loosest limits.
+    ``entries`` are gated candidates with ``ticker, entry_date, entry_price,
+    atr, rsi, score, headline_count`` under the loosest limits.
     Exits depend on the stop, target and hold parameters only, so each entry is
     labelled once per such triple; the gate parameters then only pick rows.
     """
     exit_params = {k: params[k] for k in ("atr_multiplier", "take_profit_pct", "trend_fail_min_hold")}
     gate_params = {k: v for k, v in params.items() if k not in exit_params and k != "reentry_cooldown_days"}
     spread = with_grid(entries, exit_params)
-    keyed = spread.withColumns(
-        {
-            "entry_id": F.col("trade_id").cast("string"),
-            "trade_id": F.concat_ws("|", F.col("trade_id").cast("string"), "atr_multiplier", "take_profit_pct", "trend_fail_min_hold"),
-            "dist": F.col("atr") * F.col("atr_multiplier"),
-            "trend_min_hold": F.col("trend_fail_min_hold"),
-        }
+    sized = spread.withColumns(
+        {"dist": F.col("atr") * F.col("atr_multiplier"), "trend_min_hold": F.col("trend_fail_min_hold")}
     )
-    exits = trades.label_exits(keyed, bars, sentiment).select("trade_id", "exit_date", "exit_price", "exit_reason")
-    labelled = keyed.join(exits, "trade_id")
+    labelled = trades.label_exits(sized, bars, sentiment)
     gated = with_grid(labelled, gate_params)
     passes = F.lit(True)
     if "sentiment_floor" in gate_params:

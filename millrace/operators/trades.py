@@ -19,10 +19,7 @@ RULES = {
     "sell_consensus": 0.70,
     "min_headlines": 5,
 }
-EXIT_SCHEMA = (
-    "trade_id string, ticker {ticker}, entry_date date, entry_price double, dist double, "
-    "take_profit_pct double, trend_min_hold int, exit_date date, exit_price double, exit_reason string"
-)
+EXIT_COLUMNS = "exit_date date, exit_price double, exit_reason string"
 
 
 def holding_days(trades, calendar) -> DataFrame:
@@ -107,17 +104,17 @@ def _label_ticker(entries, bars):
 def label_exits(entries, bars, sentiment=None, rules=None) -> DataFrame:
     """Exit of every entry on its own: stop, else target, else trend, else sentiment, else open.
 
-    ``entries`` needs ``trade_id, ticker, entry_date, entry_price, dist`` and may
-    bring its own ``take_profit_pct`` and ``trend_min_hold``.  Each entry scans
-    its ticker's days until the first exit, so no entry-by-day table is built.
-    A ticker's days are bounded by the calendar; its entries go in chunks of
-    dates, so that a ticker with many parameter sets is spread as well.
+    ``entries`` needs ``ticker, entry_date, entry_price, dist``, may bring its own
+    ``take_profit_pct`` and ``trend_min_hold``, and keeps its other columns.  Each
+    entry scans its ticker's days until the first exit, so no entry-by-day table
+    is built.  Days and entries per ticker are bounded by the calendar (times the
+    parameter sets of a sweep).
     """
     r = {**RULES, **(rules or {})}
     for name in ("take_profit_pct", "trend_min_hold"):
         if name not in entries.columns:
             entries = entries.withColumn(name, F.lit(r[name]))
-    marked = bars.withColumn("ma50", ts.rolling_mean("close", 50))
+    marked = ts.rolling_means(bars, "close", {"ma50": 50})
     if sentiment is not None:
         bad = (
             (F.col("score") < r["sell_floor"])
@@ -130,12 +127,13 @@ def label_exits(entries, bars, sentiment=None, rules=None) -> DataFrame:
         marked = marked.withColumn("sell", F.lit(False))
     marked = marked.select("ticker", "date", "open", "high", "low", "close", "ma50", F.coalesce("sell", F.lit(False)).alias("sell"))
     marked = marked.join(entries.select("ticker").distinct(), "ticker", "left_semi")
-    schema = EXIT_SCHEMA.format(ticker=entries.schema["ticker"].dataType.simpleString())
-    columns = [c.split()[0] for c in schema.split(", ")][:-3]
-    typed = entries.select(
-        *[F.col(c).cast({"take_profit_pct": "double", "trend_min_hold": "int", "trade_id": "string"}.get(c, entries.schema[c].dataType)) for c in columns]
+    typed = entries.withColumns(
+        {"take_profit_pct": F.col("take_profit_pct").cast("double"), "trend_min_hold": F.col("trend_min_hold").cast("int")}
+    )
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in typed.schema)
+    return typed.groupBy("ticker").cogroup(marked.groupBy("ticker")).applyInPandas(
+        _label_ticker, f"{kept}, {EXIT_COLUMNS}"
     )
-    return typed.groupBy("ticker").cogroup(marked.groupBy("ticker")).applyInPandas(_label_ticker, schema)
 
 
 def cooldown(df, gap_days=5, key="ticker", start="entry_date", end="exit_date") -> DataFrame:

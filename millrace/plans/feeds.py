@@ -44,7 +44,7 @@ def q_io_parquet_roundtrip(spark, folder):
         "o_orderkey", "o_totalprice", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM").alias("data_month")
     )
     path = scratch(spark, "months")
-    orders.repartition("data_month").write.mode("overwrite").partitionBy("data_month").parquet(path)
+    files.write_months(orders, path, splits=2)
     return spark.read.schema(orders.schema).parquet(path)
 
 

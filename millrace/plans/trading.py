@@ -63,12 +63,8 @@ def rounded(df, digits, *cols):
 
 @query("q_rolling_mean", f"SELECT ticker, date, round({full_mean(50)}, 6) AS ma50, round({full_mean(200)}, 6) AS ma200 FROM v_bars")
 def q_rolling_mean(spark, folder):
-    return v.bars(spark, folder).select(
-        "ticker",
-        "date",
-        F.round(ts.rolling_mean("close", 50), 6).alias("ma50"),
-        F.round(ts.rolling_mean("close", 200), 6).alias("ma200"),
-    )
+    means = ts.rolling_means(v.bars(spark, folder), "close", {"ma50": 50, "ma200": 200})
+    return rounded(means, 6, "ma50", "ma200").select("ticker", "date", "ma50", "ma200")
 
 
 @query(
@@ -341,9 +337,8 @@ def entries(spark, folder):
 
 
 def closed(spark, folder):
-    opened = entries(spark, folder)
-    exits = trades.label_exits(opened, v.bars(spark, folder), sentiment(spark, folder))
-    return exits.join(opened.select("trade_id", "shares", F.col("date").alias("signal_date")), "trade_id")
+    opened = entries(spark, folder).withColumnRenamed("date", "signal_date")
+    return trades.label_exits(opened, v.bars(spark, folder), sentiment(spark, folder))
 
 
 @query(
@@ -351,10 +346,9 @@ def closed(spark, folder):
     """SELECT trade_id, ticker, entry_date, entry_price, round(dist, 6) AS dist, shares, least(floor(10000 / entry_price), 20)::bigint AS live_shares FROM v_entry""",
 )
 def q_position_size(spark, folder):
-    sized = entries(spark, folder)
-    live = trades.size_live(sized.select("trade_id", F.col("entry_price").alias("price")), 100_000.0)
-    out = sized.join(live.select("trade_id", F.col("shares").alias("live_shares")), "trade_id")
-    return rounded(out, 6, "dist").select("trade_id", "ticker", "entry_date", "entry_price", "dist", "shares", "live_shares")
+    sized = entries(spark, folder).withColumnRenamed("shares", "risk_shares").withColumn("price", F.col("entry_price"))
+    both = trades.size_live(sized, 100_000.0).withColumnsRenamed({"shares": "live_shares", "risk_shares": "shares"})
+    return rounded(both, 6, "dist").select("trade_id", "ticker", "entry_date", "entry_price", "dist", "shares", "live_shares")
 
 
 @query(

@@ -72,10 +72,15 @@ def run_months(months, work):
     return report
 
 
-def write_months(df, path, column="data_month"):
-    """Parquet by month; only the months in ``df`` are replaced."""
+def write_months(df, path, column="data_month", splits=32):
+    """Parquet by month; only the months in ``df`` are replaced.
+
+    A month is spread over up to ``splits`` tasks and files, so one month may
+    hold most of the rows.
+    """
+    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c != column]), F.lit(splits))
     (
-        df.repartition(column, F.pmod(F.xxhash64(*[c for c in df.columns if c != column]), F.lit(32)))
+        df.repartition(column, spread)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)

@@ -82,7 +82,8 @@ def compare(spark_df, con, sql):
             left[name], right[name] = left[name].astype(float), right[name].astype(float)
     same = False
     try:
-        hashes = [np.sort(pd.util.hash_pandas_object(f.fillna(np.nan), index=False).to_numpy()) for f in (left, right)]
+        f32 = lambda f: f.infer_objects()
+        hashes = [np.sort(pd.util.hash_pandas_object(f32(f), index=False).to_numpy()) for f in (left, right)]
         same = bool((hashes[0] == hashes[1]).all())
     except TypeError:
         pass
