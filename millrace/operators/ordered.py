@@ -14,11 +14,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BLOCKS = 512
+MAX_BLOCKS = 256
 
 
 def block_count(df: DataFrame) -> int:
-    """Blocks per order: follows the session's shuffle width, within 16 and 512."""
+    """Blocks per order: follows the session's shuffle width, within 16 and 256."""
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(16, min(MAX_BLOCKS, 2 * width))
 
@@ -30,7 +30,8 @@ def cut_points(df: DataFrame, columns, blocks=None) -> dict:
     block borders and never decide a result.
     """
     columns = list(columns)
-    blocks = blocks or block_count(df)
+    # Several columns share one search expression, so they share the number of blocks.
+    blocks = blocks or max(16, block_count(df) // len(columns))
     probabilities = [i / blocks for i in range(1, blocks)]
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     found = doubles.approxQuantile(columns, probabilities, 1.0 / (2 * blocks))
