@@ -7,43 +7,30 @@ from . import views as v
 from .registry import query
 
 Q1 = """
-WITH owp AS (
-  SELECT od.*, cd.customer_id, dd.running_week, dd.year_week, od.discount_value + od.price_paid AS price_before_discount
-  FROM v_fact od LEFT JOIN v_week dd ON od.fk_order_date = dd.sk_date
-       LEFT JOIN v_customer_dim cd ON od.fk_customer = cd.sk_customer),
-cc AS (
-  SELECT cd.customer_id, cd.first_name, cd.last_name, cv.conversion_id,
-         rank() OVER (PARTITION BY cd.customer_id ORDER BY cv.conversion_id) AS conversion_number,
-         cv.conversion_type, cv.conversion_date, dd.year_week AS conversion_week, dd.running_week, cv.conversion_channel,
-         lead(dd.year_week) OVER (PARTITION BY cd.customer_id ORDER BY cv.conversion_date) AS next_conversion_week,
-         lead(dd.running_week) OVER (PARTITION BY cd.customer_id ORDER BY cv.conversion_date) AS next_run_week,
-         owp.year_week AS first_order_week, owp.price_paid AS first_order_total_paid
-  FROM v_conv cv JOIN v_customer_dim cd ON cd.sk_customer = cv.fk_customer
-       LEFT JOIN v_week dd ON dd.sk_date = cv.fk_conversion_date
-       LEFT JOIN owp ON cv.order_number = owp.order_number),
-wc AS (SELECT DISTINCT running_week, year_week FROM v_week),
-counted AS (
-  SELECT cc.*, row_number() OVER (PARTITION BY customer_id, conversion_number ORDER BY wc.running_week) AS week_counter,
-         cc.running_week + row_number() OVER (PARTITION BY customer_id, conversion_number ORDER BY wc.running_week) - 1 AS customer_week
-  FROM cc JOIN wc ON wc.running_week >= cc.running_week),
-cut AS (
-  SELECT counted.*, wc.year_week FROM counted LEFT JOIN wc ON wc.running_week = customer_week
-  WHERE (customer_week < next_run_week AND next_run_week IS NOT NULL)
-     OR (customer_week < (SELECT max(running_week) + 1 FROM v_week) AND next_run_week IS NULL)),
-gor AS (
-  SELECT customer_id, running_week, count(DISTINCT order_number) AS order_placed, sum(price_before_discount) AS total_before_discounts,
-         sum(discount_value) AS total_discounts, sum(price_paid) AS total_paid
-  FROM owp GROUP BY customer_id, running_week)
-SELECT cut.customer_id, first_name, last_name, conversion_id, conversion_number, conversion_type, conversion_date,
+WITH sale AS (
+  SELECT f.order_number, f.fk_customer AS buyer, w.running_week AS wk, w.year_week AS sale_week, f.discount_value AS off, f.price_paid AS paid
+  FROM v_fact f LEFT JOIN v_week w ON w.sk_date = f.fk_order_date),
+per_week AS (SELECT buyer, wk, sum(off + paid) AS gross, sum(off) AS off, sum(paid) AS paid FROM sale GROUP BY buyer, wk),
+segment AS (
+  SELECT c.customer_id, c.first_name, c.last_name, v.conversion_id, v.conversion_type, v.conversion_date, v.conversion_channel,
+         w.running_week AS begin_wk, w.year_week AS conversion_week, s.sale_week AS first_order_week, s.paid AS first_paid,
+         rank() OVER (PARTITION BY c.customer_id ORDER BY v.conversion_id) AS conversion_number,
+         lead(w.running_week) OVER by_day AS next_wk, lead(w.year_week) OVER by_day AS next_conversion_week
+  FROM v_conv v JOIN v_customer_dim c ON c.sk_customer = v.fk_customer
+       LEFT JOIN v_week w ON w.sk_date = v.fk_conversion_date LEFT JOIN sale s ON s.order_number = v.order_number
+  WINDOW by_day AS (PARTITION BY c.customer_id ORDER BY v.conversion_date)),
+spine AS (
+  SELECT segment.*, unnest(range(begin_wk, coalesce(next_wk, final + 1))) AS wk
+  FROM segment, (SELECT max(running_week) AS final FROM v_week)),
+label AS (SELECT running_week AS wk, any_value(year_week) AS order_week FROM v_week GROUP BY running_week)
+SELECT customer_id, first_name, last_name, conversion_id, conversion_number, conversion_type, conversion_date,
        conversion_week, next_conversion_week, conversion_channel, first_order_week,
-       cast(first_order_total_paid as double) AS first_order_total_paid, week_counter, year_week AS order_week,
-       cast(CASE WHEN coalesce(order_placed, 0) > 0 THEN 1 ELSE 0 END as bigint) AS orders_placed,
-       cast(coalesce(total_before_discounts, 0) as double) AS total_before_discounts,
-       cast(coalesce(total_discounts, 0) as double) AS total_discounts,
-       cast(coalesce(total_paid, 0) as double) AS total_paid_in_week,
-       cast(sum(coalesce(total_paid, 0)) OVER (PARTITION BY cut.customer_id, conversion_id ORDER BY customer_week) as double) AS conversion_cumulative_revenue,
-       cast(sum(coalesce(total_paid, 0)) OVER (PARTITION BY cut.customer_id ORDER BY customer_week) as double) AS lifetime_cumulative_revenue
-FROM cut LEFT JOIN gor ON gor.running_week = customer_week AND gor.customer_id = cut.customer_id
+       first_paid::double AS first_order_total_paid, (spine.wk - begin_wk + 1)::bigint AS week_counter, order_week,
+       (p.wk IS NOT NULL)::bigint AS orders_placed, coalesce(gross, 0)::double AS total_before_discounts,
+       coalesce(off, 0)::double AS total_discounts, coalesce(p.paid, 0)::double AS total_paid_in_week,
+       (sum(coalesce(p.paid, 0)) OVER (PARTITION BY customer_id, conversion_id ORDER BY spine.wk))::double AS conversion_cumulative_revenue,
+       (sum(coalesce(p.paid, 0)) OVER (PARTITION BY customer_id ORDER BY spine.wk))::double AS lifetime_cumulative_revenue
+FROM spine LEFT JOIN per_week p ON p.buyer = customer_id AND p.wk = spine.wk LEFT JOIN label ON label.wk = spine.wk
 """
 
 
