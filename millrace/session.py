@@ -51,3 +51,14 @@ def scratch(spark, label):
     if folder:
         return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     return tempfile.mkdtemp(prefix=f"millrace-{label}-") + "/data"
+
+
+def stored(df, label):
+    """Write ``df`` once as Parquet to a fresh shared folder and read it back.
+
+    For a costly table that a plan reads several times: later reads prune its
+    columns, and a lost executor costs a re-read instead of the whole lineage.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
