@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import chat, decontaminate, fingerprints
 
 QUERIES, ORACLES = {}, {}
 
@@ -53,3 +53,35 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 def op3_decontaminate(spark, folder):
     found = decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.drop("longest")
+
+
+@query("op4_fingerprints")
+def op4_fingerprints(spark, folder):
+    return fingerprints.compare(table(spark, folder, "documents"))
+
+
+@query(
+    "op10_chat_perspectives",
+    """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations
+),
+p AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+s AS (
+  SELECT conv_id, speaker, turn, role, text, role = speaker AS own,
+    '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN role
+      ELSE 'user name=' || replace(role, '<|', '< |') END || chr(10) || text || '<|im_end|>' || chr(10) AS segment
+  FROM t JOIN p USING (conv_id)
+),
+o AS (
+  SELECT *, row_number() OVER w AS pos, sum(length(segment)) OVER (w ROWS UNBOUNDED PRECEDING) - 1 AS til
+  FROM s WINDOW w AS (PARTITION BY conv_id, speaker ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, speaker, count(*) AS n_turns, count(*) FILTER (own) AS n_masked, length(string_agg(segment, '' ORDER BY pos)) AS n_chars,
+  string_agg(segment, '' ORDER BY pos) AS rendered,
+  string_agg((til - length(text) - 10)::BIGINT || ':' || til::BIGINT, ',' ORDER BY pos) FILTER (own) AS mask
+FROM o GROUP BY conv_id, speaker
+""",
+)
+def op10_chat_perspectives(spark, folder):
+    return chat.perspectives(table(spark, folder, "conversations"))
