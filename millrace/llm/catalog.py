@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fingerprints
+from . import chat, decontaminate, fingerprints, substrings
 
 QUERIES, ORACLES = {}, {}
 
@@ -85,3 +85,22 @@ FROM o GROUP BY conv_id, speaker
 )
 def op10_chat_perspectives(spark, folder):
     return chat.perspectives(table(spark, folder, "conversations"))
+
+
+@query(
+    "op9_substrings",
+    """
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+g AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d WHERE len(w) >= 20)
+),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) AS n FROM g),
+x AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS p FROM r WHERE n > 1),
+k AS (SELECT doc_id, w[p] AS word, p FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS p FROM d) ANTI JOIN x USING (doc_id, p)),
+s AS (SELECT doc_id, count(*) AS n, sha256(string_agg(word, ' ' ORDER BY p)) AS sha FROM k GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, coalesce(sha, sha256('')) AS kept_sha256 FROM d LEFT JOIN s USING (doc_id)
+""",
+)
+def op9_substrings(spark, folder):
+    return substrings.dedup(table(spark, folder, "documents"))
