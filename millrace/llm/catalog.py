@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fingerprints, substrings
+from . import bagminhash, chat, decontaminate, fingerprints, licenses, secret_scan, substrings
 
 QUERIES, ORACLES = {}, {}
 
@@ -104,3 +104,18 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, coalesce
 )
 def op9_substrings(spark, folder):
     return substrings.dedup(table(spark, folder, "documents"))
+
+
+@query("op1_near_duplicates")
+def op1_near_duplicates(spark, folder):
+    return bagminhash.classes(table(spark, folder, "documents"))
+
+
+@query("op5_licenses")
+def op5_licenses(spark, folder):
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+@query("op7_secrets")
+def op7_secrets(spark, folder):
+    return secret_scan.scan(table(spark, folder, "documents"))
