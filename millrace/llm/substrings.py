@@ -177,8 +177,10 @@ def dedup(docs, id="doc_id", text="text", window=WINDOW):
     """
     base = docs.select(
         F.coalesce(F.col(id).cast("long"), F.lit(_FIRST)).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    ).withColumn("sha", F.unhex(F.sha2("text", 256)))
-    owners = base.groupBy("sha").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    )
+    # Digests are made again after each shuffle of the texts, so that one exchange serves all passes.
+    sha = F.unhex(F.sha2("text", 256))
+    owners = base.groupBy(sha.alias("sha")).agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     texts = base.join(owners, "doc_id", "left_semi")
     halves = texts.select("doc_id", "text").mapInArrow(_halves(window), "h long, doc_id long, p int")
     seen = halves.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
@@ -190,7 +192,7 @@ def dedup(docs, id="doc_id", text="text", window=WINDOW):
     check = F.shiftleft(F.col("s").cast("long"), _CHECK).bitwiseOR(F.col("h").bitwiseAND(F.lit((1 << _CHECK) - 1)))
     gone = named.groupBy("doc_id").agg(F.collect_list(check).alias("gone"))
     empty = F.expr("cast(array() as array<long>)")
-    judged = texts.join(gone, "doc_id", "left").select("doc_id", "text", "sha", F.coalesce("gone", empty).alias("gone"))
+    judged = texts.join(gone, "doc_id", "left").select("doc_id", "text", sha.alias("sha"), F.coalesce("gone", empty).alias("gone"))
     judged = judged.mapInArrow(
         _kept(window),
         T.StructType().add("doc_id", T.LongType()).add("sha", T.BinaryType()).add("n_words", T.LongType())
