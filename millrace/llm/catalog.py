@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import bagminhash, chat, decontaminate, fingerprints, licenses, secret_scan, substrings
+from pyspark.sql import functions as F
+
+from . import bagminhash, chat, decontaminate, fingerprints, langid, licenses, pieces, secret_scan, substrings, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -119,3 +121,23 @@ def op5_licenses(spark, folder):
 @query("op7_secrets")
 def op7_secrets(spark, folder):
     return secret_scan.scan(table(spark, folder, "documents"))
+
+
+@query("op6_languages")
+def op6_languages(spark, folder):
+    return langid.held_out_predictions(table(spark, folder, "documents"))
+
+
+@query("op8_pieces")
+def op8_pieces(spark, folder):
+    docs = table(spark, folder, "documents")
+    coded = pieces.encode(docs.select("doc_id", "text"), keep=True)
+    return coded.select(
+        "doc_id", F.size(F.coalesce("ids", F.array())).cast("long").alias("n_pieces"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), F.coalesce(F.col("decoded").eqNullSafe(F.replace("text", F.lit(pieces.SPACE), F.lit(" "))), F.lit(False)).alias("exact"),
+    )
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark, folder):
+    return toxicity.predictions(table(spark, folder, "documents"), table(spark, folder, "labels"))

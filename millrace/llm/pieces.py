@@ -13,17 +13,28 @@ where summed scores would not. Characters without a piece become byte pieces.
 
 from __future__ import annotations
 
+import re
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import mix, powers, slices
+from .arrow import mix, powers
+from .arrow import slices as parts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
+#: Spaces and what follows them.
+_UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+#: Encoded units kept for the next texts; beyond it they are encoded anew.
+CACHE = 300_000
 _R = np.uint64(0xA0761D6478BD642F)
 _NONE = np.int64(-1)
+#: Low bits of a hash that tell most other substrings from pieces.
+_SIEVE = np.uint64((1 << 19) - 1)
+_LOW = np.int64((1 << 32) - 1)
 #: Above every rank.
 _NEVER = 1 << 40
 
@@ -33,9 +44,9 @@ def _codes(text):
 
 
 def _hash(codes):
-    """64 bits for the code points along the last axis."""
-    up, _ = powers(_R, codes.shape[-1])
-    return mix(((codes.astype(np.uint64) + np.uint64(1)) * up).sum(axis=-1, dtype=np.uint64))
+    """64 bits for a run of code points."""
+    up, _ = powers(_R, len(codes))
+    return mix(np.atleast_1d(((codes.astype(np.uint64) + np.uint64(1)) * up).sum(dtype=np.uint64)))[0]
 
 
 class Pieces:
@@ -49,8 +60,10 @@ class Pieces:
         self.text = [model.id_to_piece(i) for i in range(n)]
         self.byte = {int(t[3:5], 16): i for i, t in enumerate(self.text) if model.is_byte(i)}
         special = {i for i in range(n) if model.is_byte(i) or model.is_control(i) or model.is_unknown(i)}
-        self.of_byte = {i: b for b, i in self.byte.items()}
-        self.special = special
+        self.raw = [b"" if i in special else t.replace(SPACE, " ").encode() for i, t in enumerate(self.text)]
+        for b, i in self.byte.items():
+            self.raw[i] = bytes([b])
+        self.seen: dict[str, list] = {}
         normal = [i for i in range(n) if i not in special]
         if any(SPACE in self.text[i].lstrip(SPACE) for i in normal):
             raise ValueError("a piece reaches over a word's end")
@@ -63,6 +76,8 @@ class Pieces:
         keys = np.array([_hash(_codes(self.text[i])) for i in normal], np.uint64)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(normal, np.int64)[order]
+        self.maybe = np.zeros(int(_SIEVE) + 1, bool)
+        self.maybe[(keys & _SIEVE).astype(np.int64)] = True
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two pieces share a hash")
         self.known = known = {self.text[i]: i for i in normal}
@@ -104,8 +119,12 @@ class Pieces:
 
     def find(self, hashes):
         """Piece of each hash, or -1."""
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        return np.where(self.keys[at] == hashes, self.ids[at], _NONE)
+        out = np.full(hashes.shape, _NONE)
+        maybe = np.nonzero(self.maybe[(hashes & _SIEVE).astype(np.int64)])
+        some = hashes[maybe]
+        at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+        out[maybe] = np.where(self.keys[at] == some, self.ids[at], _NONE)
+        return out
 
     def _pair(self, a, b):
         """Rank of the merge of two pieces, or a number above all."""
@@ -140,40 +159,39 @@ class Pieces:
     def units(self, codes):
         """Encode units of equal length, given as a matrix of code points: a list of piece ids for each."""
         n, length = codes.shape
+        plus = codes.astype(np.uint64) + np.uint64(1)
         longest = min(self.longest, length)
-        best = np.full((n, length + 1), _NONE)
-        best[:, 0] = self.n
-        size = np.zeros((n, length + 1), np.int8)
-        reached = np.zeros((n, length + 1), bool)
-        reached[:, 0] = True
         up, _ = powers(_R, longest)
-        plus = codes.astype(np.uint64) + np.uint64(1)
-        for end in range(1, length + 1):
-            score = np.full(n, -1, np.int64)
-            for width in range(1, min(longest, end) + 1):
-                start = end - width
-                hashes = mix((plus[:, start:end] * up[:width]).sum(axis=1, dtype=np.uint64))
-                piece = self.find(hashes)
-                if width == 1:
-                    # Without a piece a character stands for itself.
-                    piece = np.where(piece < 0, self.n, piece)
-                open_ = (piece >= 0) & reached[:, start] & ((self.rank[piece] >= 0) if width > 1 else True)
-                at = np.flatnonzero(open_)
-                if not len(at):
-                    continue
-                before = best[at, start]
-                free = (before == self.n) | (piece[at] == self.n)
-                fits = free.copy()
-                check = np.flatnonzero(~free)
-                fits[check] = self.apart(before[check], piece[at[check]])
-                at = at[fits]
-                # The widest open candidate: the maximum over widths.
-                better = width > score[at]
-                at = at[better]
-                score[at] = width
-                best[at, end] = piece[at]
-                size[at, end] = width
-                reached[at, end] = True
+        # All substrings that are pieces, by unit, end, width and piece.
+        units, ends, widths, found = [], [], [], []
+        sums = np.zeros((n, length), np.uint64)
+        for width in range(1, longest + 1):
+            sums = sums[:, : length - width + 1] + plus[:, width - 1 :] * up[width - 1]
+            piece = self.find(mix(sums))
+            # Without a piece a character stands for itself; pieces that no merges make stay out.
+            piece = np.where(piece < 0, self.n, piece) if width == 1 else np.where(self.rank[piece] >= 0, piece, _NONE)
+            unit, start = np.nonzero(piece >= 0)
+            units.append(unit)
+            ends.append(start + width)
+            widths.append(np.full(len(unit), width))
+            found.append(piece[unit, start])
+        unit, end, width, piece = (np.concatenate(x) for x in (units, ends, widths, found))
+        order = np.argsort(end, kind="stable")
+        unit, width, piece = unit[order], width[order], piece[order]
+        cuts = np.searchsorted(end[order], np.arange(1, length + 2))
+        # Backpointers: width and piece of the path's last step to each end, in one number.
+        last = np.full((n, length + 1), _NONE)
+        last[:, 0] = self.n
+        for at in range(1, length + 1):
+            here = slice(cuts[at - 1], cuts[at])
+            u, w, p = unit[here], width[here], piece[here]
+            before = last[u, at - w]
+            open_ = before >= 0
+            before &= _LOW
+            check = np.flatnonzero(open_ & (before != self.n) & (p != self.n))
+            open_[check] = self.apart(before[check], p[check])
+            np.maximum.at(last, (u[open_], at), w[open_] << 32 | p[open_])
+        reached, size, best = last >= 0, last >> 32, last & _LOW
         out = []
         for i in range(n):
             if not reached[i, length]:
@@ -205,15 +223,13 @@ class Pieces:
 
     def encode(self, texts):
         """Piece ids of every text; a space is set before a text that is not empty."""
-        seen: dict[str, list] = {}
-        cut = []
-        for said in texts:
-            parts = _units(SPACE + said.replace(" ", SPACE)) if said else []
-            cut.append(parts)
-            for p in parts:
-                seen[p] = []
+        cut = [_UNITS.findall(SPACE + said.replace(" ", SPACE)) if said else [] for said in texts]
+        if len(self.seen) > CACHE:
+            self.seen.clear()
+        seen = self.seen
+        new = {p for parts in cut for p in parts if p not in seen}
         by: dict[int, list] = {}
-        for p in seen:
+        for p in new:
             by.setdefault(len(p), []).append(p)
         for length, parts in by.items():
             step = max(1, (1 << 18) // length)
@@ -222,45 +238,31 @@ class Pieces:
                 matrix = _codes("".join(some)).reshape(len(some), length)
                 for p, ids in zip(some, self.units(matrix)):
                     seen[p] = ids
-        return [[i for p in parts for i in seen[p]] for parts in cut]
+        return [list(chain.from_iterable(map(seen.__getitem__, parts))) for parts in cut]
 
     def decode(self, rows):
         """Text of every list of piece ids; the space set before it is taken away."""
         out = []
         for ids in rows:
-            raw = b"".join(bytes([self.of_byte[i]]) if i in self.of_byte else self.text[i].encode() for i in ids if i not in self.special or i in self.of_byte)
-            said = raw.decode("utf-8", "replace").replace(SPACE, " ")
+            said = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
             out.append(said[1:] if said.startswith(" ") else said)
         return out
 
 
-def _units(said):
-    """Parts that begin where spaces begin."""
-    parts, at, n = [], 0, len(said)
-    while at < n:
-        k = at
-        while k < n and said[k] == SPACE:
-            k += 1
-        end = said.find(SPACE, k)
-        end = n if end < 0 else end
-        parts.append(said[at:end])
-        at = end
-    return parts
-
-
-def encode(docs, id="doc_id", text="text", path=MODEL):
+def encode(docs, id="doc_id", text="text", path=MODEL, keep=False):
     """``doc_id, ids, decoded`` for each row: piece ids of the text and the text made of them again.
 
     A null text has null ids, an empty one none. Decoding gives the text back,
     but for the letter U+2581, which stands for a space. Rows are encoded one by
-    one, so repeats and null ids are kept; other columns are not read.
+    one, so repeats and null ids are kept; other columns are not read. ``keep``
+    returns the text too.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(Pieces(path))
 
     def run(batches):
         pieces = shipped.value
         for batch in batches:
-            for part in slices(batch):
+            for part in parts_of(batch):
                 texts = part.column("text").to_pylist()
                 ids = pieces.encode([t or "" for t in texts])
                 back = pieces.decode(ids)
@@ -270,9 +272,12 @@ def encode(docs, id="doc_id", text="text", path=MODEL):
                         part.column("doc_id"),
                         pa.array([None if g else x for g, x in zip(gone, ids)], pa.list_(pa.int32())),
                         pa.array([None if g else x for g, x in zip(gone, back)], pa.string()),
+                        *([part.column("text")] if keep else []),
                     ],
-                    names=["doc_id", "ids", "decoded"],
+                    names=schema.names,
                 )
 
     schema = T.StructType().add("doc_id", docs.schema[id].dataType).add("ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
+    if keep:
+        schema = schema.add("text", T.StringType())
     return docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
