@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..session import ship
 from . import views
 
 QUERIES, ORACLES = {}, {}
@@ -11,7 +12,11 @@ def query(name, oracle=None):
     """Register a function ``(spark, folder) -> DataFrame`` and, where there is one, its SQL."""
 
     def keep(function):
-        QUERIES[name] = lambda spark, folder: views.plain(function(spark, folder))
+        def run(spark, folder):
+            ship(spark)
+            return views.plain(function(spark, folder))
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = views.sql(oracle)
         return function

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -31,26 +33,33 @@ def get_session(app="millrace", master=None, shuffle_partitions=None, extra=None
     return builder.getOrCreate()
 
 
-def materialise(df):
-    """Cut the lineage of ``df`` with a reliable checkpoint in the cluster's shared folder.
+def ship(spark):
+    """Give the workers this package, from whatever folder the driver was started; once per application.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is
-    unset (local tests) a temporary one is taken.
+    The archive lies in the driver's own folder of shipped files, from where Spark serves it.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="millrace-checkpoint-"))
-    return df.checkpoint()
+    if getattr(context, "_millrace_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(SparkFiles.getRootDirectory()) / "source" / "millrace.zip"
+    archive.parent.mkdir(parents=True, exist_ok=True)
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._millrace_shipped = True
 
 
 def scratch(spark, label):
-    """Fresh folder for written tables, beside the shared checkpoints where those are set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"millrace-{label}-") + "/data"
+    """Fresh folder for written tables in a place that driver and executors share.
+
+    That is the session's ``spark.checkpoint.dir``, or else its warehouse.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir or spark.sql.warehouse.dir to a folder that all machines share")
+    return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def stored(df, label):
