@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import ship
 from . import bagminhash, chat, decontaminate, fingerprints, langid, licenses, pieces, secret_scan, substrings, toxicity
 
 QUERIES, ORACLES = {}, {}
@@ -11,7 +12,11 @@ QUERIES, ORACLES = {}, {}
 
 def query(name, oracle=None):
     def keep(function):
-        QUERIES[name] = function
+        def run(spark, folder):
+            ship(spark)
+            return function(spark, folder)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return function

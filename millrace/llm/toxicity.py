@@ -28,6 +28,8 @@ LEARN_ROWS = 50_000
 #: Words and beginnings kept by evidence, at most.
 FEATURES = 20_000
 THRESHOLD = 0.7
+#: Least lower share of toxic texts for a word to tell anything.
+SURE = 0.5
 #: Bytes of a word's beginning that count as features of their own.
 BEGINNINGS = (4, 5, 6)
 
@@ -215,8 +217,8 @@ def learn(rows, model, features=FEATURES):
     """Evidence of words: ``(sorted hashes, lower share of toxic texts)`` from ``text, toxic`` rows.
 
     ``rows`` are bounded; equal texts count once. A word counts if at least
-    three toxic texts have it and its excess is beyond what the best of so many
-    words would show by chance.
+    three toxic texts have it, its excess is beyond what the best of so many
+    words would show by chance, and its lower share is at least ``SURE``.
     """
     shipped = rows.sparkSession.sparkContext.broadcast(model)
 
@@ -248,10 +250,10 @@ def learn(rows, model, features=FEATURES):
     found = found.filter(F.col("t") >= 3).withColumn("excess", F.when(t / n > rate, t * F.log(t / n / rate) + side).otherwise(0.0))
     found = found.orderBy(F.desc("excess"), "h").limit(features).collect()
     least = math.log(max(len(found), 1))
-    kept = sorted((h & (1 << 64) - 1, n, t) for h, n, t, excess in found if excess >= least)
     z = 1.64
-    lower = [(t / n + z * z / (2 * n) - z * math.sqrt(t / n * (1 - t / n) / n + z * z / (4 * n * n))) / (1 + z * z / n) for _, n, t in kept]
-    return np.array([h for h, _, _ in kept], np.uint64), np.array(lower), 0.0
+    lower = lambda n, t: (t / n + z * z / (2 * n) - z * math.sqrt(t / n * (1 - t / n) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    kept = sorted((h & (1 << 64) - 1, lower(n, t)) for h, n, t, excess in found if excess >= least and lower(n, t) >= SURE)
+    return np.array([h for h, _ in kept], np.uint64), np.array([share for _, share in kept]), 0.0
 
 
 def score(docs, model, evidence, id="doc_id", text="text", keep=()):
