@@ -74,6 +74,7 @@ class Index:
     """One block of benchmark items: vocabulary, word stream and windows."""
 
     def __init__(self, items, window=WINDOW):
+        self.window = window
         ids = [str(i) for i, _ in items]
         words = Words(pa.array([t for _, t in items], pa.large_string()), "plain")
         hashes, counts = words.hash, words.counts
@@ -160,6 +161,7 @@ class Index:
             fits = (near >= 0) & (near < len(tests))
             same = order.common(array[fits], tests[near[fits]], stop)
             np.maximum.at(longest, docs[array[fits] - own], same)
+        longest[longest < self.window] = 0
         best = np.zeros(len(tests), np.int64)
         for side in (-1, 0):
             fits = (at + side >= 0) & (at + side < len(array))
@@ -217,9 +219,8 @@ def marks(docs, benchmark, id="doc_id", text="text", item="item_id", item_text="
 
     Returns ``doc_id, n_words, spans, items, longest`` for each row of ``docs``:
     the covered word ranges, the sorted ids of items with an occurring window,
-    and the longest common stretch of words with any item (looked for where at
-    least a window's worth of words in a row are known to the benchmark, else
-    0). A null text has no words and so no spans; a null item text is
+    and the longest common stretch of words with any item (0 below ``window``
+    words). A null text has no words and so no spans; a null item text is
     skipped; a null item id is listed as ``None``; repeated documents and items
     are each looked at; an empty benchmark marks nothing. Other columns of
     either table are not read.
