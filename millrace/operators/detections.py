@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
 
-CHUNK = 10_000
-
-
 def read_coco(spark, path):
     """Images, annotations and categories of JSON documents with these three arrays."""
     doc = spark.read.option("multiLine", True).json(path)
@@ -17,29 +14,21 @@ def read_coco(spark, path):
     return part("images"), part("annotations"), part("categories")
 
 
-def nest_annotations(images, annotations, key="image_id", fields=("bbox", "category", "area", "id"), chunk=CHUNK) -> DataFrame:
+def nest_annotations(images, annotations, key="image_id", fields=("bbox", "category", "area", "id")) -> DataFrame:
     """Images with their annotations as parallel arrays in id order; none give empty arrays.
 
-    An image with more than ``chunk`` annotations becomes several records
-    (``part`` 0, 1, ...), so that no row grows without bound and nothing is lost.
+    One row per image whatever its size: a record is what a training step reads
+    as a whole.  For images beyond a row, keep the annotations long (image, id
+    and fields), as :func:`read_coco` gives them.
     """
-    counts = annotations.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    parts = F.ceil(F.col("_n") / F.lit(float(chunk)))
-    spread = annotations.join(counts, F.col(key) == F.col("_k")).withColumn(
-        "part", F.pmod(F.xxhash64(*fields), parts).cast("int")
-    )
     rows = F.array_sort(F.collect_list(F.struct(*[F.col(f) for f in ("id", *[f for f in fields if f != "id"])])))
-    nested = spread.groupBy(key, "part").agg(rows.alias("_rows"))
+    nested = annotations.groupBy(key).agg(rows.alias("_rows"))
     objects = F.struct(*[F.col("_rows")[f].alias(f) for f in fields]).alias("objects")
-    packed = nested.select(F.col(key).alias("_k"), "part", objects)
+    packed = nested.select(F.col(key).alias("_k"), objects)
     empty = F.struct(
         *[F.array().cast(f"array<{annotations.schema[f].dataType.simpleString()}>").alias(f) for f in fields]
     )
-    return (
-        images.join(packed, F.col(key) == F.col("_k"), "left")
-        .drop("_k")
-        .withColumns({"part": F.coalesce("part", F.lit(0)), "objects": F.coalesce("objects", empty)})
-    )
+    return images.join(packed, F.col(key) == F.col("_k"), "left").drop("_k").withColumn("objects", F.coalesce("objects", empty))
 
 
 def to_records(images, annotations) -> DataFrame:
@@ -49,16 +38,15 @@ def to_records(images, annotations) -> DataFrame:
     return nest_annotations(named, boxes)
 
 
-def label_maps(categories, limit=100_000) -> DataFrame:
-    """One row with both maps; more than ``limit`` categories are refused (join instead)."""
-    pairs = F.collect_list(F.struct("id", "name"))
-    # One row beyond the limit is enough to notice too many, and all that is ever collected.
-    both = categories.select("id", "name").limit(limit + 1).agg(F.count(F.lit(1)).alias("n"), pairs.alias("p"))
-    checked = F.when(F.col("n") <= limit, F.col("p")).otherwise(F.raise_error(F.lit("too many labels for a map")))
-    return both.select(
-        F.map_from_entries(checked).alias("id2label"),
-        F.map_from_entries(F.transform(checked, lambda c: F.struct(c["name"], c["id"]))).alias("label2id"),
-    )
+def label_map(classes) -> Column:
+    """Map literal of a class list, ``{id: name}``; a class table is joined instead (:func:`named`)."""
+    return F.create_map(*[F.lit(x) for pair in classes.items() for x in pair])
+
+
+def named(df, categories, key="id", name="name") -> DataFrame:
+    """``df`` with the name of its class id; unknown ids get null."""
+    lookup = categories.select(F.col(key).alias("_id"), F.col(name).alias("_name"))
+    return df.join(lookup, F.col(key) == F.col("_id"), "left").drop("_id").withColumnRenamed("_name", name)
 
 
 def box_structs(objects="objects"):

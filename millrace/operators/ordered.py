@@ -62,11 +62,12 @@ def number_block(df: DataFrame, column: str, descending=False) -> Column:
     return -index if descending else index
 
 
-def time_block(df: DataFrame, column: str) -> Column:
-    """Block expression of a timestamp column, by its seconds."""
+def time_block(df: DataFrame, column: str, descending=False) -> Column:
+    """Block expression of a timestamp column, by its seconds; null is the first block, or the last."""
     seconds = F.unix_seconds(F.col(column).cast("timestamp"))
     cuts = cut_points(df.select(seconds.alias("s")), ["s"])["s"]
-    return block_of(seconds.cast("double"), cuts)
+    index = block_of(seconds.cast("double"), cuts)
+    return -index if descending else index
 
 
 def hash_block(digest: Column) -> Column:

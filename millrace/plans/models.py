@@ -355,11 +355,9 @@ def q_zip_structs(spark, folder):
 )
 def q_map_funcs(spark, folder):
     nation = v.table(spark, folder, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
-    maps = detections.label_maps(nation)
-    label = maps.select("id2label").scalar()
-    back = maps.select("label2id").scalar()
-    named = nation.select("id").withColumn("name", F.element_at(label, F.col("id")))
-    return named.withColumn("back", F.element_at(back, F.col("name")))
+    named = detections.named(nation.select("id"), nation)
+    back = nation.select(F.col("name").alias("_name"), F.col("id").alias("back"))
+    return named.join(back, F.col("name") == F.col("_name")).drop("_name")
 
 
 @query(

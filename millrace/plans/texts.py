@@ -33,7 +33,7 @@ GRAMS = (
     + "{c}[:-3], {c}[2:-2], {c}[3:]".replace("{c}", CHARS)
     + "), lambda x: x[1] || x[2] || x[3])) ELSE [] END"
 )
-v.SQL["v_page"] = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker, day ORDER BY created_at DESC, doc_id DESC) AS pos FROM v_news) WHERE pos <= 30"""
+v.SQL["v_page"] = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker, day ORDER BY created_at DESC, doc_id DESC) AS pos FROM v_news)"""
 v.SQL["v_unique"] = f"""
 WITH RECURSIVE g AS MATERIALIZED (SELECT ticker, day, doc_id, pos, {GRAMS.format('headline')} AS grams FROM v_page),
 x AS MATERIALIZED (SELECT ticker, day, pos, len(grams) AS n, unnest(grams) AS gram FROM g),
@@ -73,7 +73,7 @@ FROM (SELECT ticker, day, count(*) AS n, count(*) FILTER (label = 'positive') AS
 
 
 def unique(spark, folder):
-    return s.dedup_jaccard(s.news_window(v.news(spark, folder)))
+    return s.dedup_jaccard(s.placed(v.news(spark, folder)))
 
 
 def weighted(spark, folder):

@@ -480,7 +480,7 @@ def q_sector_exposure(spark, folder):
 @query(
     "q_sector_cap",
     """SELECT ticker, sector, rank, round(sector_value, 4) AS sector_value FROM (
- SELECT ticker, sector, (ticker * 37) % 100003 AS rank, sum(market_value) OVER (PARTITION BY sector ORDER BY (ticker * 37) % 100003) AS sector_value FROM v_positions) WHERE sector_value / 100000 <= 0.3""",
+ SELECT ticker, sector, (ticker * 37) % 100003 AS rank, sum(market_value) OVER (PARTITION BY sector ORDER BY (ticker * 37) % 100003, ticker ROWS UNBOUNDED PRECEDING) AS sector_value FROM v_positions) WHERE sector_value / 100000 <= 0.3""",
 )
 def q_sector_cap(spark, folder):
     ranked = positions(spark, folder).select(

@@ -332,14 +332,39 @@ def test_coco(spark, tmp_path):
     got = {r["image_id"]: r for r in detections.to_records(images, annotations).collect()}
     assert got[1]["file_name"] == "a.png" and got[1]["objects"]["id"] == [8, 9]
     assert got[2]["objects"]["bbox"] == []
-    assert detections.label_maps(categories).first()["label2id"] == {"Owl": 0, "Cat": 1}
+    assert rows(detections.named(categories.select("id"), categories), "id", "name") == [(0, "Owl"), (1, "Cat")]
+    label = detections.label_map({0: "Owl", 1: "Cat"})
+    assert categories.select(F.element_at(label, F.col("id").cast("int")).alias("x")).first()["x"] == "Owl"
 
 
-def test_nest_annotations_splits_large_parents(spark):
+def test_nest_annotations_has_one_row_for_each_image(spark):
     images = spark.createDataFrame([(1,)], "image_id bigint")
     boxes = spark.range(1000).select(F.lit(1).cast("bigint").alias("image_id"), F.array(F.lit(1.0)).alias("bbox"), F.lit(1).alias("category"), F.lit(1.0).alias("area"), "id")
-    out = detections.nest_annotations(images, boxes, chunk=100).select("part", F.size("objects.id").alias("n")).collect()
-    assert sum(r["n"] for r in out) == 1000 and 5 <= len(out) <= 10
+    (row,) = detections.nest_annotations(images, boxes).collect()
+    assert row["objects"]["id"] == list(range(1000))
+
+
+def test_near_duplicates_of_a_large_group(spark):
+    """500 headlines of one day against the greedy rule taken literally."""
+    import random
+
+    rng = random.Random(2)
+    said = []
+    for k in range(500):
+        if k % 3 and said:
+            words = rng.choice(said).split()
+            words[rng.randrange(len(words))] = f"{rng.randrange(10**6)}"
+            said.append(" ".join(words))
+        else:
+            said.append(" ".join(f"{rng.randrange(10**6)}" for _ in range(rng.randrange(1, 9))))
+    said += ["", "ab", "ab", said[7], said[8].upper()]
+    news = spark.createDataFrame([("t", 1, k, s) for k, s in enumerate(said)], "ticker string, day int, pos long, headline string")
+    grams = [{s.lower()[i : i + 3] for i in range(len(s) - 2)} for s in said]
+    kept = []
+    for k, g in enumerate(grams):
+        if not any(g and grams[j] and len(g & grams[j]) / len(g | grams[j]) >= sentiment.SIMILAR for j in kept):
+            kept.append(k)
+    assert sorted(r["pos"] for r in sentiment.dedup_jaccard(news).collect()) == kept
 
 
 def test_class_threshold_is_inclusive(spark):
