@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes worked on at once; a longer text goes alone.
-BYTES = 2 << 20
+BYTES = 1 << 20
 
 _random = np.random.default_rng(20240229)
 _VALUES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -39,7 +39,7 @@ def powers(base, n):
     """The first ``n`` powers of an odd ``base`` and of its inverse, modulo 2**64."""
     kept = _powers.get(int(base))
     if kept is None or len(kept[0]) < n:
-        size = max(n, 1 << 16, 0 if kept is None else 2 * len(kept[0]))
+        size = max(n + n // 8, 1 << 16)
         pair = []
         for b in (int(base), pow(int(base), -1, 1 << 64)):
             row = np.full(size, b, np.uint64)

@@ -29,7 +29,7 @@ SPACE = "▁"
 #: Spaces and what follows them.
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Encoded units kept for the next texts; beyond it they are encoded anew.
-CACHE = 300_000
+CACHE = 60_000
 _R = np.uint64(0xA0761D6478BD642F)
 _NONE = np.int64(-1)
 #: Low bits of a hash that tell most other substrings from pieces.
@@ -232,7 +232,7 @@ class Pieces:
         for p in new:
             by.setdefault(len(p), []).append(p)
         for length, parts in by.items():
-            step = max(1, (1 << 18) // length)
+            step = max(1, (1 << 16) // length)
             for k in range(0, len(parts), step):
                 some = parts[k : k + step]
                 matrix = _codes("".join(some)).reshape(len(some), length)

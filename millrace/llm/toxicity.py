@@ -47,7 +47,7 @@ _TOKEN = re.compile(r"\S+")
 #: Logarithms of the channel: kept letter, stretched letter left out, sign for a letter, for an end, for nothing, separator for nothing.
 _KEPT, _STRETCH, _SIGN, _END, _NOTHING, _JOIN = (math.log(p) for p in (0.95, 0.3, 0.3, 0.2, 0.02, 0.5))
 _classes: list[np.ndarray] = []
-_CACHE = 100_000
+_CACHE = 20_000
 
 
 def classes():
