@@ -70,14 +70,9 @@ def time_block(df: DataFrame, column: str, descending=False) -> Column:
     return -index if descending else index
 
 
-def hash_block(digest: Column) -> Column:
-    """Block of an md5 hex string by its first two digits: 256 even blocks."""
-    return F.conv(F.substring(digest, 1, 2), 16, 10).cast("int")
-
-
-def same_keys(left, right, keys):
-    """Null-safe equality of equally named keys of two frames."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def hash_block(digest: Column, digits=4) -> Column:
+    """Block of an md5 hex string by its first digits: 65,536 even blocks with four; more rows, more digits."""
+    return F.conv(F.substring(digest, 1, digits), 16, 10).cast("long")
 
 
 def running(df: DataFrame, keys, order, sums, block: Column, totals=False) -> DataFrame:

@@ -2,9 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import detections, evaluation as ev, forecast, models, sampling, stats
+from ..operators import cleaning, detections, evaluation as ev, forecast, models, sampling, stats
 from . import views as v
-from .cleaning import credit_clean
 from .registry import query
 from ..session import scratch
 
@@ -150,10 +149,10 @@ def q_onehot(spark, folder):
 @query(
     "q_minibatch",
     """SELECT l.epoch, doc_id, ((row_number() OVER (PARTITION BY epoch ORDER BY md5('42-' || epoch || '-' || doc_id), doc_id) - 1) // 32)::bigint AS batch
-FROM (SELECT unnest([1, 2, 3])::bigint AS epoch) l, documents""",
+FROM (SELECT unnest(generate_series(1, 10))::bigint AS epoch) l, documents""",
 )
 def q_minibatch(spark, folder):
-    return sampling.minibatches(v.table(spark, folder, "documents").select("doc_id"), "doc_id", epochs=3)
+    return sampling.minibatches(v.table(spark, folder, "documents").select("doc_id"), "doc_id")
 
 
 @query(
@@ -171,11 +170,15 @@ NUMERIC = ["limit_bal", "avg_bill", "utilization", "payment_ratio", "avg_delay",
 
 def credit_rows(spark, folder):
     # The clean table feeds several fits: it is written once instead of being computed per pass.
-    rows = credit_clean(spark, folder).withColumn(
-        "label", (F.col("avg_delay") + F.col("payment_ratio").isNull().cast("int") > 3.2).cast("int")
-    )
+    # The label, more lines returned than accepted, is no function of the features; every customer stays.
+    sent = v.table(spark, folder, "lineitem").join(v.table(spark, folder, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+    flag = F.col("l_returnflag")
+    returns = sent.groupBy("o_custkey").agg((F.count_if(flag == "R") > F.count_if(flag == "A")).cast("int").alias("_more"))
+    raw = v.credit(spark, folder).drop("target").join(returns, F.col("id") == F.col("o_custkey"), "left")
+    raw = raw.withColumn("label", F.coalesce("_more", F.lit(0))).drop("_more", "o_custkey")
+    rows = cleaning.credit_features(cleaning.credit(raw, v.BILLS, v.PAYMENTS, v.DELAYS), v.BILLS, v.PAYMENTS, v.DELAYS)
     path = scratch(spark, "credit")
-    rows.na.drop(subset=[*NUMERIC, "delay_bucket"]).write.mode("overwrite").parquet(path)
+    rows.na.fill(0.0, NUMERIC).na.fill("none", ["delay_bucket"]).write.mode("overwrite").parquet(path)
     stored = spark.read.parquet(path)
     key = F.md5(F.concat_ws("|", *NUMERIC))
     return models.balanced(stored.withColumn("is_train", F.conv(F.substring(key, 1, 4), 16, 10).cast("int") < 52428))
@@ -193,7 +196,7 @@ def q_ml_logistic(spark, folder):
 def q_ml_forest(spark, folder):
     rows = credit_rows(spark, folder)
     train, held = rows.filter("is_train"), rows.filter("not is_train")
-    fit = models.pipeline(NUMERIC, ["delay_bucket", "education"], models.forest(trees=20, depth=6)).fit(train)
+    fit = models.pipeline(NUMERIC, ["delay_bucket", "education"], models.forest()).fit(train)
     return ev.strategies(models.score(fit, held))
 
 
@@ -201,14 +204,14 @@ def q_ml_forest(spark, folder):
 def q_ml_mlp(spark, folder):
     e = F.col("embedding")
     rows = v.table(spark, folder, "embeddings").select(
-        *[F.get(e, F.lit(i)).cast("double").alias(f"x{i}") for i in range(3)], (F.col("label") % 3).alias("y"), "vec_id"
+        *[F.get(e, F.lit(i)).cast("double").alias(f"x{i}") for i in range(64)], (F.col("label") % 3).alias("y"), "vec_id"
     )
     marked = sampling.split(rows, "vec_id")
     path = scratch(spark, "matrix")
     marked.write.mode("overwrite").parquet(path)
     stored = spark.read.parquet(path)
-    part = lambda flag: models.load_matrix(stored.filter(flag), ["x0", "x1", "x2"], "y")
-    fit = models.mlp().fit(part("is_first"))
+    part = lambda flag: models.load_matrix(stored.filter(flag), [f"x{i}" for i in range(64)], "y")
+    fit = models.mlp(layers=(64, 16, 3)).fit(part("is_first"))
     return fit.transform(part("not is_first")).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
