@@ -29,7 +29,7 @@ SPACE = "▁"
 #: Spaces and what follows them.
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Encoded units kept for the next texts; beyond it they are encoded anew.
-CACHE = 60_000
+CACHE = 200_000
 _R = np.uint64(0xA0761D6478BD642F)
 _NONE = np.int64(-1)
 #: Low bits of a hash that tell most other substrings from pieces.
@@ -39,6 +39,11 @@ _LOW = np.int64((1 << 32) - 1)
 _NEVER = 1 << 40
 
 
+def _pair_slot(key):
+    """Slot of a pair in the table that tells most other pairs from those that merge."""
+    return (key.astype(np.uint64) * _R >> np.uint64(43)).astype(np.int64)
+
+
 def _codes(text):
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
@@ -99,6 +104,8 @@ class Pieces:
                     pair[a * (n + 1) + b] = self.ranks[said]
         self.pair_keys = np.array(sorted(pair), np.int64)
         self.pair_rank = np.array([pair[k] for k in sorted(pair)], np.int64)
+        self.pair_maybe = np.zeros(1 << 21, bool)
+        self.pair_maybe[_pair_slot(self.pair_keys)] = True
         self.n = n
 
     def _merged(self, said, known, below):
@@ -129,8 +136,12 @@ class Pieces:
     def _pair(self, a, b):
         """Rank of the merge of two pieces, or a number above all."""
         key = a * (self.n + 1) + b
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == key, self.pair_rank[at], np.int64(_NEVER))
+        out = np.full(len(key), np.int64(_NEVER))
+        maybe = np.flatnonzero(self.pair_maybe[_pair_slot(key)])
+        some = key[maybe]
+        at = np.minimum(np.searchsorted(self.pair_keys, some), len(self.pair_keys) - 1)
+        out[maybe] = np.where(self.pair_keys[at] == some, self.pair_rank[at], np.int64(_NEVER))
+        return out
 
     def apart(self, a, b):
         """Whether merges leave pieces ``a, b`` side by side: at no stage of making them would their ends merge first."""
@@ -192,21 +203,30 @@ class Pieces:
             open_[check] = self.apart(before[check], p[check])
             np.maximum.at(last, (u[open_], at), w[open_] << 32 | p[open_])
         reached, size, best = last >= 0, last >> 32, last & _LOW
-        out = []
-        for i in range(n):
+        # All units walk their backpointers together.
+        at, steps = np.where(reached[:, length], length, 0), []
+        rows = np.arange(n)
+        while at.any():
+            steps.append(np.where(at > 0, best[rows, at], _NONE))
+            at = at - np.where(at > 0, size[rows, at], 0)
+        ids = np.stack(steps[::-1], axis=1) if steps else np.zeros((n, 0), np.int64)
+        counts = (ids >= 0).sum(axis=1).tolist()
+        odd = (ids == self.n).any(axis=1) | ~reached[:, length]
+        # Shorter paths have their steps at the end.
+        out = [row[len(row) - k :] for row, k in zip(ids.tolist(), counts)]
+        for i in np.flatnonzero(odd).tolist():
             if not reached[i, length]:
-                out.append(self._plain(codes[i]))
+                out[i] = self._plain(codes[i])
                 continue
-            at, ids = length, []
-            while at:
-                width = int(size[i, at])
-                piece = int(best[i, at])
+            place, said = 0, []
+            for piece in out[i]:
                 if piece == self.n:
-                    ids += [self.byte[b] for b in reversed(chr(int(codes[i, at - 1])).encode("utf-8", "surrogatepass"))]
+                    said += [self.byte[b] for b in chr(int(codes[i, place])).encode("utf-8", "surrogatepass")]
+                    place += 1
                 else:
-                    ids.append(piece)
-                at -= width
-            out.append(ids[::-1])
+                    said.append(piece)
+                    place += len(self.text[piece])
+            out[i] = said
         return out
 
     def _plain(self, codes):
