@@ -138,8 +138,7 @@ def op8_pieces(spark, folder):
     docs = table(spark, folder, "documents")
     coded = pieces.encode(docs.select("doc_id", "text"), keep=True)
     return coded.select(
-        "doc_id", F.size(F.coalesce("ids", F.array())).cast("long").alias("n_pieces"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), F.coalesce(F.col("decoded").eqNullSafe(F.replace("text", F.lit(pieces.SPACE), F.lit(" "))), F.lit(False)).alias("exact"),
+        "doc_id", F.size(F.coalesce("ids", F.array())).cast("long").alias("n_pieces"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"), F.coalesce(F.col("decoded").eqNullSafe(F.replace("text", F.lit(pieces.SPACE), F.lit(" "))), F.lit(False)).alias("exact"),
     )
 
 
