@@ -75,10 +75,15 @@ def fit(docs, text="text", lang="lang", length=LENGTH):
     def add(batches):
         for batch in batches:
             by: dict = {}
-            for said, name in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                by.setdefault(name, []).append(said)
-            for name, texts in by.items():
-                keys, n = counts(np.concatenate([grams(t) for t in texts]))
+            for part in slices(batch):
+                own: dict = {}
+                for said, name in zip(part.column("text").to_pylist(), part.column("lang").to_pylist()):
+                    own.setdefault(name, []).append(grams(said))
+                for name, found in own.items():
+                    by.setdefault(name, []).append(counts(np.concatenate(found)))
+            for name, found in by.items():
+                keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+                n = np.bincount(at, weights=np.concatenate([n for _, n in found]), minlength=len(keys)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys), pa.array(n)], names=["lang", "gram", "n"])
 
     rows = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).dropna()
