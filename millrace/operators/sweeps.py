@@ -10,21 +10,24 @@ from pyspark.sql import functions as F
 from . import trades
 
 # The four parameter grids.
-COMMON = {"min_headlines": [5], "reentry_cooldown_days": [5], "trend_fail_min_hold": [5]}
 GRIDS = {
     "quick": {
         "atr_multiplier": [2.0, 2.5, 3.0],
         "take_profit_pct": [0.10, 0.15, 0.20],
         "sentiment_floor": [6.5, 7.0, 7.5],
         "rsi_entry_min": [30, 35],
-        **COMMON,
+        "min_headlines": [5],
+        "reentry_cooldown_days": [5],
+        "trend_fail_min_hold": [5],
     },
     "medium": {
         "atr_multiplier": [1.5, 2.0, 2.5, 3.0, 3.5],
         "take_profit_pct": [0.08, 0.10, 0.12, 0.15, 0.20],
         "sentiment_floor": [6.0, 6.5, 7.0, 7.5],
         "rsi_entry_min": [25, 30, 35, 40],
-        **COMMON,
+        "min_headlines": [5],
+        "reentry_cooldown_days": [5],
+        "trend_fail_min_hold": [5],
     },
     "full": {
         "atr_multiplier": [2.0, 2.5, 3.0, 3.5],
@@ -64,10 +67,11 @@ def run(entries, bars, params, sentiment=None, min_trades=20) -> DataFrame:
     ``entries`` are gated candidates with ``ticker, entry_date, entry_price,
     atr, rsi, score, headline_count`` under the loosest limits.
     Exits depend on the stop, target and hold parameters only, so each entry is
-    labelled once per such triple; the gate parameters then only pick rows.
+    labelled once per such triple; the gate parameters then only pick rows, and
+    the cooldown of the set accepts them in order per ticker.
     """
     exit_params = {k: params[k] for k in ("atr_multiplier", "take_profit_pct", "trend_fail_min_hold")}
-    gate_params = {k: v for k, v in params.items() if k not in exit_params and k != "reentry_cooldown_days"}
+    gate_params = {k: v for k, v in params.items() if k not in exit_params}
     spread = with_grid(entries, exit_params)
     sized = spread.withColumns(
         {"dist": F.col("atr") * F.col("atr_multiplier"), "trend_min_hold": F.col("trend_fail_min_hold")}
@@ -83,6 +87,8 @@ def run(entries, bars, params, sentiment=None, min_trades=20) -> DataFrame:
         passes = passes & (F.col("headline_count") >= F.col("min_headlines"))
     names = [*exit_params, *gate_params]
     kept = gated.filter(passes).withColumn("pnl", F.col("exit_price") / F.col("entry_price") - 1)
+    if "reentry_cooldown_days" in gate_params:
+        kept = trades.cooldown(kept, "reentry_cooldown_days", ["ticker", *names])
     metrics = kept.groupBy(*names).agg(
         F.avg("pnl").alias("total_return"),
         F.try_divide(F.avg("pnl"), F.stddev_samp("pnl")).alias("sharpe"),

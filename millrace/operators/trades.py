@@ -59,13 +59,18 @@ def size_live(df, capital, share=0.10, max_shares=20) -> DataFrame:
     return df.withColumn("shares", F.least(F.floor(F.lit(capital * share) / F.col("price")), F.lit(max_shares)))
 
 
+def _cents(x):
+    """To two decimals, halves away from zero, as SQL rounds."""
+    return np.sign(x) * np.floor(np.abs(x) * 100 + 0.5) / 100
+
+
 def _first_exit(o, h, l, c, ma, sell, start, entry, dist, target, hold):
     """Index, price and reason of the first exit from ``start`` on, scanned in growing steps."""
     peak, i, step, n = entry, start, 32, len(o)
     while i < n:
         j = min(n, i + step)
         peaks = np.maximum(np.maximum.accumulate(h[i:j]), peak)
-        stops = np.round(peaks - dist, 2)
+        stops = _cents(peaks - dist)
         stop, goal = l[i:j] <= stops, h[i:j] >= target
         trend = (np.arange(i, j) - start + 1 >= hold) & (c[i:j] < ma[i:j])
         hit = stop | goal | trend | sell[i:j]
@@ -90,7 +95,7 @@ def _label_ticker(entries, bars):
         return entries.assign(exit_date=None, exit_price=None, exit_reason=None).astype(object)
     out = []
     for e in entries.itertuples(index=False):
-        target = round(e.entry_price * (1 + e.take_profit_pct), 2)
+        target = float(_cents(e.entry_price * (1 + e.take_profit_pct)))
         out.append(
             _first_exit(o, h, l, c, ma, sell, where[e.entry_date], e.entry_price, e.dist, target, e.trend_min_hold)
         )
@@ -139,24 +144,26 @@ def label_exits(entries, bars, sentiment=None, rules=None) -> DataFrame:
 def cooldown(df, gap_days=5, key="ticker", start="entry_date", end="exit_date") -> DataFrame:
     """Accepted rows per key in order: each starts at least ``gap_days`` after the last accepted end.
 
-    A fold, because a skipped row does not count.  One row per key and start
+    ``key`` may be several columns, and ``gap_days`` one of them.  A fold, because a skipped row does not count.  One row per key and start
     day is taken (the first id), so the folded list is bounded by the calendar.
     """
-    one = df.groupBy(key, start).agg(F.min_by(F.struct(*[c for c in df.columns if c not in (key, start)]), "trade_id").alias("_r"))
+    keys = [key] if isinstance(key, str) else list(key)
+    gap = F.col(gap_days) if isinstance(gap_days, str) else F.lit(gap_days)
+    one = df.groupBy(*keys, start).agg(F.min_by(F.struct(*[c for c in df.columns if c not in (*keys, start)]), "trade_id").alias("_r"))
     rows = F.sort_array(F.collect_list(F.struct(F.col(start).alias("s"), F.col(f"_r.{end}").alias("e"))))
     kind = "array<date>"
 
     def step(state, row):
-        free = state["last"].isNull() | (F.datediff(row["s"], state["last"]) >= gap_days)
+        free = state["last"].isNull() | (F.datediff(row["s"], state["last"]) >= gap)
         return F.when(
             free,
             F.struct(row["e"].alias("last"), F.concat(state["kept"], F.array(row["s"])).alias("kept")),
         ).otherwise(state)
 
     first = F.struct(F.lit(None).cast("date").alias("last"), F.array().cast(kind).alias("kept"))
-    kept = one.groupBy(key).agg(F.aggregate(rows, first, step).alias("_f"))
-    accepted = kept.select(key, F.explode("_f.kept").alias(start))
-    return one.join(accepted, [key, start]).select(key, start, "_r.*").select(*df.columns)
+    kept = one.groupBy(*keys).agg(rows.alias("_rows")).withColumn("_f", F.aggregate("_rows", first, step))
+    accepted = kept.select(*keys, F.explode("_f.kept").alias(start))
+    return one.join(accepted, [*keys, start]).select(*keys, start, "_r.*").select(*df.columns)
 
 
 def log(trades) -> DataFrame:

@@ -307,7 +307,7 @@ WINDOW m AS (PARTITION BY b.ticker ORDER BY b.date ROWS BETWEEN 49 PRECEDING AND
 """
 
 
-def exits_sql(entries, mult="3.5", tp="0.12", hold="5", extra=""):
+def exits_sql(entries, mult="3.5", tp="0.12", hold="5", extra="", marked="v_marked"):
     """Exit labels as a join of entries with all later days; ``extra`` are columns to carry."""
     dist = "dist" if mult == "3.5" else f"(coalesce(atr, entry_price * 0.05) * {mult})"
     return f"""
@@ -320,7 +320,7 @@ FROM (SELECT *, why IS NOT NULL AS hit, CASE why WHEN 'STOP_LOSS' THEN least(ope
   SELECT e.trade_id, e.ticker, e.entry_date, e.entry_price{extra.replace(', ', ', e.')}, b.date, b.rn, b.open, b.high, b.low, b.close, b.ma50, b.sell, {hold} AS hold,
    round(e.entry_price * (1 + {tp}), 2) AS target, b.rn - x.rn + 1 AS held,
    round(greatest(e.entry_price, max(b.high) OVER w) - {dist}, 2) AS stop
-  FROM {entries} e JOIN v_marked x ON x.ticker = e.ticker AND x.date = e.entry_date JOIN v_marked b ON b.ticker = e.ticker AND b.rn >= x.rn
+  FROM {entries} e JOIN {marked} x ON x.ticker = e.ticker AND x.date = e.entry_date JOIN {marked} b ON b.ticker = e.ticker AND b.rn >= x.rn
   WINDOW w AS (PARTITION BY e.trade_id{extra.replace(', ', ', e.')} ORDER BY b.rn)))) GROUP BY trade_id, ticker, entry_date, entry_price{extra}"""
 
 
@@ -523,52 +523,61 @@ def q_exit_alerts(spark, folder):
 
 # -- sweep -----------------------------------------------------------------------------------------
 
-SWEEP = {
-    "atr_multiplier": [2.0, 3.5],
-    "take_profit_pct": [0.10, 0.20],
-    "sentiment_floor": [3.0, 5.0],
-    "rsi_entry_min": [35, 50],
-    "min_headlines": [5],
-    "reentry_cooldown_days": [5],
-    "trend_fail_min_hold": [5],
-}
-NAMES = ["atr_multiplier", "take_profit_pct", "trend_fail_min_hold", "sentiment_floor", "rsi_entry_min", "min_headlines"]
+SWEEP = sweeps.GRIDS["quick"]
+NAMES = ["atr_multiplier", "take_profit_pct", "trend_fail_min_hold", "sentiment_floor", "rsi_entry_min", "min_headlines", "reentry_cooldown_days"]
+v.SQL["v_marked_in"] = "SELECT * FROM v_marked WHERE date < DATE '1999-01-01'"
 v.SQL["v_combo"] = """
-SELECT e.*, a AS am, p AS tp FROM v_entry e, (SELECT unnest([2.0, 3.5])::double AS a), (SELECT unnest([0.10, 0.20])::double AS p)"""
+SELECT e.*, a AS am, p AS tp FROM v_entry e, (SELECT unnest([2.0, 2.5, 3.0])::double AS a), (SELECT unnest([0.10, 0.15, 0.20])::double AS p)"""
 v.SQL["v_labels"] = exits_sql("v_combo", mult="am", tp="tp", extra=", am, tp")
+v.SQL["v_labels_in"] = exits_sql("v_combo", mult="am", tp="tp", extra=", am, tp", marked="v_marked_in")
 
 
-def sweep_view(condition):
+def sweep_view(condition, labels="v_labels"):
+    same = "am, tp, sf, r, ticker"
     return f"""
+WITH RECURSIVE k AS MATERIALIZED (SELECT x.am, x.tp, sf, r, x.ticker, x.entry_date, x.exit_date, x.exit_reason, exit_price / x.entry_price - 1 AS pnl
+ FROM {labels} x JOIN v_entry e USING (trade_id), (SELECT unnest([6.5, 7.0, 7.5])::double AS sf), (SELECT unnest([30, 35]) AS r)
+ WHERE score >= sf AND rsi >= r AND headline_count >= 5 AND {condition}),
+n AS MATERIALIZED (SELECT a.*, (SELECT min(b.entry_date) FROM k b WHERE b.am = a.am AND b.tp = a.tp AND b.sf = a.sf AND b.r = a.r AND b.ticker = a.ticker
+ AND b.entry_date >= a.exit_date + 5 AND b.entry_date > a.entry_date) AS nxt FROM k a),
+acc AS (SELECT n.* FROM n JOIN (SELECT {same}, min(entry_date) AS entry_date FROM k GROUP BY ALL) f USING ({same}, entry_date)
+ UNION ALL SELECT n.* FROM acc JOIN n ON n.am = acc.am AND n.tp = acc.tp AND n.sf = acc.sf AND n.r = acc.r AND n.ticker = acc.ticker AND n.entry_date = acc.nxt)
 SELECT am AS atr_multiplier, tp AS take_profit_pct, 5::bigint AS trend_fail_min_hold, sf AS sentiment_floor, r::bigint AS rsi_entry_min, 5::bigint AS min_headlines,
- avg(pnl) AS total_return, avg(pnl) / stddev_samp(pnl) AS sharpe, min(pnl) AS max_drawdown, count(*) AS n_trades, count(*) FILTER (exit_reason = 'STOP_LOSS') AS n_stops,
+ 5::bigint AS reentry_cooldown_days, avg(pnl) AS total_return, avg(pnl) / stddev_samp(pnl) AS sharpe, min(pnl) AS max_drawdown, count(*) AS n_trades, count(*) FILTER (exit_reason = 'STOP_LOSS') AS n_stops,
  count(*) FILTER (exit_reason = 'TAKE_PROFIT') AS n_targets, count(*) FILTER (exit_reason = 'OPEN') AS n_open,
  count(*) FILTER (pnl > 0)::double / count(*) AS win_rate, count(*) FILTER (exit_reason = 'STOP_LOSS')::double / count(*) AS stop_rate
-FROM (SELECT x.*, exit_price / x.entry_price - 1 AS pnl, e.score, e.rsi, e.headline_count FROM v_labels x JOIN v_entry e USING (trade_id) WHERE {condition}),
- (SELECT unnest([3.0, 5.0])::double AS sf), (SELECT unnest([35, 50]) AS r)
-WHERE score >= sf AND rsi >= r AND headline_count >= 5 GROUP BY ALL"""
+FROM acc GROUP BY am, tp, sf, r"""
 
 
 v.SQL["v_sweep"] = sweep_view("true")
-v.SQL["v_sweep_in"] = sweep_view("x.entry_date < DATE '1999-01-01'")
+v.SQL["v_sweep_in"] = sweep_view("x.entry_date < DATE '1999-01-01'", "v_labels_in")
 v.SQL["v_sweep_out"] = sweep_view("x.entry_date >= DATE '1999-01-01'")
 
 
-def sweep(spark, folder, condition="true"):
+def sweep(spark, folder, condition="true", days="true"):
     return sweeps.run(
-        entries(spark, folder).filter(condition), v.bars(spark, folder), SWEEP, sentiment(spark, folder)
+        entries(spark, folder).filter(condition), v.bars(spark, folder).filter(days), SWEEP, sentiment(spark, folder)
     )
 
 
+def in_sample(spark, folder):
+    """The first window sees its own bars only, so no later price decides an exit."""
+    return sweep(spark, folder, "entry_date < date'1999-01-01'", "date < date'1999-01-01'")
+
+
+def out_of_sample(spark, folder):
+    return sweep(spark, folder, "entry_date >= date'1999-01-01'")
+
+
 @query(
     "q_sweep",
-    """SELECT atr_multiplier, take_profit_pct, sentiment_floor, rsi_entry_min, n_trades, n_stops, n_targets, n_open, round(total_return, 6) AS total_return, round(sharpe, 6) AS sharpe,
- round(max_drawdown, 6) AS max_drawdown, win_rate, stop_rate, CASE WHEN n_trades < 20 THEN '<20 trades' ELSE 'extreme value' END AS note FROM v_sweep""",
+    """SELECT atr_multiplier, take_profit_pct, sentiment_floor, rsi_entry_min, reentry_cooldown_days, n_trades, n_stops, n_targets, n_open, round(total_return, 9) AS total_return, round(sharpe, 9) AS sharpe,
+ round(max_drawdown, 9) AS max_drawdown, win_rate, stop_rate, CASE WHEN n_trades < 20 THEN '<20 trades' WHEN atr_multiplier <> 2.5 OR take_profit_pct <> 0.15 OR sentiment_floor <> 7.0 OR rsi_entry_min IN (30, 35) THEN 'extreme value' ELSE '' END AS note FROM v_sweep""",
 )
 def q_sweep(spark, folder):
     cols = ["total_return", "sharpe", "max_drawdown"]
-    return rounded(sweep(spark, folder), 6, *cols).select(
-        "atr_multiplier", "take_profit_pct", "sentiment_floor", "rsi_entry_min", "n_trades", "n_stops", "n_targets",
+    return rounded(sweep(spark, folder), 9, *cols).select(
+        "atr_multiplier", "take_profit_pct", "sentiment_floor", "rsi_entry_min", "reentry_cooldown_days", "n_trades", "n_stops", "n_targets",
         "n_open", *cols, "win_rate", "stop_rate", "note",
     )
 
@@ -580,25 +589,39 @@ UNIQUE = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER B
 @query(
     "q_top_unique",
     f"""WITH a AS ({UNIQUE.format(k=', '.join(KEYS), m='total_return')}), b AS ({UNIQUE.format(k=', '.join(KEYS), m='sharpe')})
-SELECT {', '.join(KEYS)}, round(total_return, 6) AS total_return, round(sharpe, 6) AS sharpe, 'return' AS source, row_number() OVER (ORDER BY total_return DESC) AS place FROM a
-UNION ALL SELECT {', '.join(KEYS)}, round(total_return, 6), round(sharpe, 6), 'sharpe', place FROM (SELECT *, row_number() OVER (ORDER BY sharpe DESC) AS place FROM b)
+SELECT {', '.join(KEYS)}, round(total_return, 9) AS total_return, round(sharpe, 9) AS sharpe, 'return' AS source, row_number() OVER (ORDER BY total_return DESC) AS place FROM a
+UNION ALL SELECT {', '.join(KEYS)}, round(total_return, 9), round(sharpe, 9), 'sharpe', place FROM (SELECT *, row_number() OVER (ORDER BY sharpe DESC) AS place FROM b)
 WHERE ({', '.join(KEYS)}) NOT IN (SELECT ({', '.join(KEYS)}) FROM a)""",
 )
 def q_top_unique(spark, folder):
     best = sweeps.top_unique(sweep(spark, folder), 5, KEYS)
-    return rounded(best, 6, "total_return", "sharpe").select(*KEYS, "total_return", "sharpe", "source", "place")
+    return rounded(best, 9, "total_return", "sharpe").select(*KEYS, "total_return", "sharpe", "source", "place")
 
 
 @query(
     "q_walk_forward",
-    f"""SELECT {', '.join('i.' + n for n in NAMES)}, round(i.total_return, 6) AS is_total_return, round(o.total_return, 6) AS oos_total_return, round(o.sharpe, 6) AS oos_sharpe,
+    f"""SELECT {', '.join('i.' + n for n in NAMES)}, round(i.total_return, 9) AS is_total_return, round(o.total_return, 9) AS oos_total_return, round(o.sharpe, 9) AS oos_sharpe,
  o.n_trades AS oos_n_trades, CASE WHEN o.total_return IS NULL OR o.sharpe IS NULL THEN 'ERROR' WHEN o.total_return > 0.05 AND o.sharpe > 0.5 THEN 'STRONG_PASS'
  WHEN o.total_return > 0 AND o.sharpe > 0 THEN 'PASS' WHEN o.total_return > 0 THEN 'MARGINAL' ELSE 'FAIL' END AS verdict
 FROM v_sweep_in i LEFT JOIN v_sweep_out o USING ({', '.join(NAMES)})""",
 )
 def q_walk_forward(spark, folder):
-    out = sweeps.walk_forward(
-        sweep(spark, folder, "entry_date < date'1999-01-01'"), sweep(spark, folder, "entry_date >= date'1999-01-01'"), NAMES
-    )
+    out = sweeps.walk_forward(in_sample(spark, folder), out_of_sample(spark, folder), NAMES)
     cols = ["is_total_return", "oos_total_return", "oos_sharpe"]
-    return rounded(out, 6, *cols).select(*NAMES, *cols, "oos_n_trades", "verdict")
+    return rounded(out, 9, *cols).select(*NAMES, *cols, "oos_n_trades", "verdict")
+
+
+BEST = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {m} DESC, rsi_entry_min) AS u FROM v_sweep_in) WHERE u = 1 ORDER BY {m} DESC LIMIT 5"
+
+
+@query(
+    "q_share_passing",
+    f"""WITH a AS ({BEST.format(k=', '.join(KEYS), m='total_return')}), b AS ({BEST.format(k=', '.join(KEYS), m='sharpe')}),
+t AS (SELECT * FROM a UNION ALL SELECT * FROM b WHERE ({', '.join(KEYS)}) NOT IN (SELECT ({', '.join(KEYS)}) FROM a)),
+c AS (SELECT coalesce(o.total_return > 0 AND o.sharpe > 0, false) AS good FROM t LEFT JOIN v_sweep_out o USING ({', '.join(NAMES)}))
+SELECT count(*) AS n, count(*) FILTER (good) AS n_pass, count(*) FILTER (good)::double / count(*) AS share FROM c""",
+)
+def q_share_passing(spark, folder):
+    """The best sets of the first window, as many as pass on the second."""
+    best = sweeps.top_unique(in_sample(spark, folder), 5, KEYS)
+    return sweeps.share_passing(sweeps.walk_forward(best, out_of_sample(spark, folder), NAMES))
