@@ -14,7 +14,6 @@ where summed scores would not. Characters without a piece become byte pieces.
 from __future__ import annotations
 
 import re
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ SPACE = "▁"
 #: Spaces and what follows them.
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Encoded units kept for the next texts; beyond it they are encoded anew.
-CACHE = 200_000
+CACHE = 500_000
 _R = np.uint64(0xA0761D6478BD642F)
 _NONE = np.int64(-1)
 #: Low bits of a hash that tell most other substrings from pieces.
@@ -68,7 +67,10 @@ class Pieces:
         self.raw = [b"" if i in special else t.replace(SPACE, " ").encode() for i, t in enumerate(self.text)]
         for b, i in self.byte.items():
             self.raw[i] = bytes([b])
-        self.seen: dict[str, list] = {}
+        self.bytes = np.frombuffer(b"".join(self.raw), np.uint8)
+        self.sizes = np.array([len(r) for r in self.raw], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self._forget()
         normal = [i for i in range(n) if i not in special]
         if any(SPACE in self.text[i].lstrip(SPACE) for i in normal):
             raise ValueError("a piece reaches over a word's end")
@@ -124,6 +126,18 @@ class Pieces:
             parts[where : where + 2] = [known[self.text[parts[where]] + self.text[parts[where + 1]]]]
         return parts
 
+    def _forget(self):
+        """Empty tables of what was encoded and judged last; they are not shipped."""
+        self.seen: dict[str, bytes] = {}
+        self.judged_keys, self.judged = np.full(1 << 21, -1, np.int64), np.zeros(1 << 21, bool)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("seen", "judged_keys", "judged")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._forget()
+
     def find(self, hashes):
         """Piece of each hash, or -1."""
         out = np.full(hashes.shape, _NONE)
@@ -143,6 +157,16 @@ class Pieces:
         out[maybe] = np.where(self.pair_keys[at] == some, self.pair_rank[at], np.int64(_NEVER))
         return out
 
+    def fits(self, a, b):
+        """As ``apart``, from a table of the pairs judged last."""
+        key = a * (self.n + 1) + b
+        slot = _pair_slot(key)
+        out = self.judged[slot]
+        new = np.flatnonzero(self.judged_keys[slot] != key)
+        out[new] = self.apart(a[new], b[new])
+        self.judged_keys[slot[new]], self.judged[slot[new]] = key[new], out[new]
+        return out
+
     def apart(self, a, b):
         """Whether merges leave pieces ``a, b`` side by side: at no stage of making them would their ends merge first."""
         a, b = a.copy(), b.copy()
@@ -200,7 +224,7 @@ class Pieces:
             open_ = before >= 0
             before &= _LOW
             check = np.flatnonzero(open_ & (before != self.n) & (p != self.n))
-            open_[check] = self.apart(before[check], p[check])
+            open_[check] = self.fits(before[check], p[check])
             np.maximum.at(last, (u[open_], at), w[open_] << 32 | p[open_])
         reached, size, best = last >= 0, last >> 32, last & _LOW
         # All units walk their backpointers together.
@@ -242,7 +266,11 @@ class Pieces:
         return [i for p in parts for i in ([self.known[p]] if p in self.known else [self.byte[b] for b in p.encode("utf-8", "surrogatepass")])]
 
     def encode(self, texts):
-        """Piece ids of every text; a space is set before a text that is not empty."""
+        """Piece ids of every text."""
+        return [np.frombuffer(blob, np.int32).tolist() for blob in self.blobs(texts)]
+
+    def blobs(self, texts):
+        """Piece ids of every text as the bytes of 32-bit numbers; a space is set before a text that is not empty."""
         cut = [_UNITS.findall(SPACE + said.replace(" ", SPACE)) if said else [] for said in texts]
         if len(self.seen) > CACHE:
             self.seen.clear()
@@ -257,8 +285,8 @@ class Pieces:
                 some = parts[k : k + step]
                 matrix = _codes("".join(some)).reshape(len(some), length)
                 for p, ids in zip(some, self.units(matrix)):
-                    seen[p] = ids
-        return [list(chain.from_iterable(map(seen.__getitem__, parts))) for parts in cut]
+                    seen[p] = np.array(ids, np.int32).tobytes()
+        return [b"".join(map(seen.__getitem__, parts)) for parts in cut]
 
     def decode(self, rows):
         """Text of every list of piece ids; the space set before it is taken away."""
@@ -268,6 +296,17 @@ class Pieces:
             out.append(said[1:] if said.startswith(" ") else said)
         return out
 
+    def texts(self, flat, offsets):
+        """Texts of all rows of ids at once: their pieces' bytes laid end to end, cut at the rows."""
+        size = self.sizes[flat]
+        total = np.concatenate([[0], np.cumsum(size)])
+        data = self.bytes[np.repeat(self.starts[flat] - total[:-1], size) + np.arange(total[-1])].tobytes()
+        out = []
+        for a, b in zip(total[offsets[:-1]].tolist(), total[offsets[1:]].tolist()):
+            said = data[a:b].decode("utf-8", "replace")
+            out.append(said[1:] if said.startswith(" ") else said)
+        return out
+
 
 def encode(docs, id="doc_id", text="text", path=MODEL, keep=False):
     """``doc_id, ids, decoded`` for each row: piece ids of the text and the text made of them again.
@@ -284,13 +323,15 @@ def encode(docs, id="doc_id", text="text", path=MODEL, keep=False):
         for batch in batches:
             for part in parts_of(batch):
                 texts = part.column("text").to_pylist()
-                ids = pieces.encode([t or "" for t in texts])
-                back = pieces.decode(ids)
-                gone = [t is None for t in texts]
+                blobs = pieces.blobs([t or "" for t in texts])
+                flat = np.frombuffer(b"".join(blobs), np.int32)
+                offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in blobs])])
+                back = pieces.texts(flat, offsets)
+                gone = np.array([t is None for t in texts])
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
-                        pa.array([None if g else x for g, x in zip(gone, ids)], pa.list_(pa.int32())),
+                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32(), mask=np.append(gone, False)), pa.array(flat)),
                         pa.array([None if g else x for g, x in zip(gone, back)], pa.string()),
                         *([part.column("text")] if keep else []),
                     ],
