@@ -1,11 +1,12 @@
 """Toxicity of deobfuscated texts, by a noisy channel.
 
-Tokens that mix letters with look-alike signs, stretch a letter or space a word
-out are decoded: every sign may stand for letters, for a word's end or for
-nothing, every repeated letter for one less, and Viterbi's algorithm takes the
-likeliest reading of this lattice under a language model of four characters,
-counted over all texts. The words of a text and of its restored tokens are then
-scored. What a word tells is learned from labelled texts: the share of toxic
+Tokens with a look-alike sign beside a letter or a letter twice in a row, and
+runs of single characters, are decoded: every sign may stand for letters, for a
+word's end or for nothing, every repeated letter for one less, and Viterbi's
+algorithm takes the likeliest reading of this lattice under a language model of
+four characters, counted over all texts. Neighbouring words that together are a
+telling one are decoded as well, so a word may be cut anywhere. The words of a
+text and of its readings are then scored. What a word tells is learned from labelled texts: the share of toxic
 ones among the texts with it, at the lower end of its confidence interval, for
 words (and word beginnings) whose excess could not be chance.
 """
@@ -41,13 +42,17 @@ SIGNS = {
 _SEPARATORS = " \t.-_,*/"
 _EDGE, _OTHER, _SIZE = 26, 27, 28
 _LETTER = r"[^\W\d_]"
-_MIXED = re.compile(rf"{_LETTER}[0-9@$!|+*€£(]+(?={_LETTER})|(?<!{_LETTER})[0-9@$!|+*€£(]+(?={_LETTER})|{_LETTER}[$€£]|({_LETTER})\1\1")
-_SPACED = re.compile(rf"(?<![^\W_])(?:[^\W_][ \t.\-_,*/]{{1,2}}){{2,}}[^\W_](?![^\W_])")
-_TOKEN = re.compile(r"\S+")
+_SIGN_CLASS = "@$!|+*€£("
+_MIXED = re.compile(rf"{_LETTER}(?=[0-9{_SIGN_CLASS}])|[0-9{_SIGN_CLASS}](?={_LETTER})|({_LETTER})\1")
+_UNIT, _BETWEEN = rf"(?:[^\W_]|[{_SIGN_CLASS}])", rf"(?:[^\w{_SIGN_CLASS}]|_)+"
+_SPACED = re.compile(rf"(?<!{_UNIT})(?:{_UNIT}{_BETWEEN}){{2,}}{_UNIT}(?!{_UNIT})")
+_BLANKS = re.compile(_BETWEEN)
+#: Signs beyond ASCII, which bytes alone do not tell from letters.
+_FAR = re.compile(r"[^\w\x00-\x7f]")
 #: Logarithms of the channel: kept letter, stretched letter left out, sign for a letter, for an end, for nothing, separator for nothing.
 _KEPT, _STRETCH, _SIGN, _END, _NOTHING, _JOIN = (math.log(p) for p in (0.95, 0.3, 0.3, 0.2, 0.02, 0.5))
 _classes: list[np.ndarray] = []
-_CACHE = 20_000
+_CACHE = 100_000
 
 
 def classes():
@@ -111,8 +116,9 @@ class Model:
             found = self._lists[state] = self.log[state].tolist()
         return found
 
-    def decode(self, span):
-        """The likeliest reading of ``span``: words of letters, lower case."""
+    def decode(self, span, whole=False):
+        """The likeliest reading of ``span``: words of letters, lower case; of ``whole`` words blanks rarely join."""
+        blank, joined = (_KEPT, _NOTHING) if whole else (_END, _JOIN)
         table = classes()
         paths = {(_EDGE, _EDGE, _EDGE): 0.0}
         back: list[dict] = []
@@ -125,8 +131,9 @@ class Model:
                     options.append(("", _STRETCH))
             else:
                 options += [(x, _SIGN - math.log(len(SIGNS[c]))) for x in SIGNS.get(c, "")]
-                options.append((" ", _END))
-                options.append(("", _JOIN if c in _SEPARATORS else _NOTHING))
+                sign = c in SIGNS and c not in _SEPARATORS
+                options.append((" ", _END if sign else blank))
+                options.append(("", _NOTHING if sign else joined))
             if c in SIGNS and c == before:
                 options.append(("", _STRETCH))
             new: dict = {}
@@ -156,39 +163,85 @@ class Model:
 
 
 class Restorer:
-    """Restored tokens of texts; readings of short tokens are kept for the next texts."""
+    """Readings of texts; those of short tokens are kept for the next texts."""
 
     def __init__(self, model):
         self.model, self.kept = model, {}
 
-    def read(self, span):
-        if len(span) > 64:
-            return self.model.decode(span)
-        found = self.kept.get(span)
-        if found is None:
+    def _keep(self, span, value):
+        if len(span) <= 64:
             if len(self.kept) > _CACHE:
                 self.kept.clear()
-            found = self.kept[span] = self.model.decode(span)
+            self.kept[span] = value
+        return value
+
+    def read(self, span, whole=False):
+        key = f"{span} " if whole else span
+        found = self.kept.get(key)
+        return self._keep(key, self.model.decode(span, whole)) if found is None else found
+
+    def token(self, token):
+        """The reading of a suspicious token; empty for another one."""
+        found = self.kept.get(token)
+        if found is None:
+            found = self._keep(token, self.model.decode(token) if _MIXED.search(token) else "")
         return found
 
     def __call__(self, text):
-        """The readings of all suspicious tokens and spaced words, by spaces."""
+        """The readings of all suspicious tokens and spaced words, by spaces, and the text with the tokens' readings in place."""
         low = text.lower()
-        out = [self.read(m[0]) for m in _SPACED.finditer(low)]
-        until = 0
-        for m in _MIXED.finditer(low):
-            if m.end() > until:
-                start = m.start()
-                while start > until and not low[start - 1].isspace():
-                    start -= 1
-                token = _TOKEN.match(low, start)
-                out.append(self.read(token[0]))
-                until = token.end()
-        return " ".join(out)
+        out = [self.read(_BLANKS.sub(" ", m[0])) for m in _SPACED.finditer(low)]
+        tokens = low.split()
+        told = {t: r for t in dict.fromkeys(tokens) if (r := self.token(t))}
+        out += told.values()
+        return " ".join(out), " ".join([told.get(t, t) for t in tokens]) if told else ""
+
+    def cut(self, texts, hashes, longest):
+        """For each text the readings of runs of words that together are a known word, or begin as one."""
+        words = Words(pa.array([_FAR.sub(" ", t) if not t.isascii() else t for t in texts], pa.large_string()), "plain")
+        out = [""] * len(texts)
+        ends, row = words.end(), words.row()
+        for i, j in sorted(set(_joined(words, ends, row, hashes, longest))):
+            a, b = max(i - 1, words.first[row[i]]), min(j + 2, words.first[row[i] + 1])
+            span = b" ".join(words.data[s:e].tobytes() for s, e in zip(words.start[a:b], ends[a:b]))
+            out[row[i]] += " " + self.read(span.decode("utf-8", "replace"), True)
+        return out
+
+
+def _joined(words, ends, row, hashes, longest):
+    """``(first, last)`` of runs of at least two words of one row whose letters put together are a known feature."""
+    n = len(words.start)
+    if n < 2 or not len(hashes):
+        return
+    sieve = np.zeros(1 << 16, bool)
+    sieve[(hashes >> np.uint64(48)).astype(np.int64)] = True
+
+    def known(h):
+        at = np.flatnonzero(sieve[(h >> np.uint64(48)).astype(np.int64)])
+        return at[hashes[np.minimum(np.searchsorted(hashes, h[at]), len(hashes) - 1)] == h[at]]
+
+    at = np.zeros(n + 1, np.int64)
+    np.cumsum(ends - words.start, out=at[1:])
+    packed = words.data[words.inside]
+    up, down = powers(_P, len(packed))
+    sums = np.zeros(len(packed) + 1, np.uint64)
+    np.cumsum(KINDS["plain"][2][packed] * up, out=sums[1:])
+    edge = words.first[row + 1]
+    for k in BEGINNINGS:
+        i = np.flatnonzero((at[1:] - at[:-1] <= k) & (at[:-1] + k < at[edge]))
+        i = i[known(mix((sums[at[i] + k] - sums[at[i]]) * down[at[i]] + np.uint64(k)))]
+        yield from zip(i.tolist(), (np.searchsorted(at, at[i] + k, "right") - 1).tolist())
+    i, step = np.arange(n - 1), 1
+    while len(i):
+        i = i[i + step < edge[i]]
+        i = i[at[i + step + 1] - at[i] <= longest]
+        found = i[known(mix((sums[at[i + step + 1]] - sums[at[i]]) * down[at[i]]))]
+        yield from zip(found.tolist(), (found + step).tolist())
+        step += 1
 
 
 def _features(column):
-    """Words of a string column with their rows and the hashes of word and beginnings, one array each (0: too short)."""
+    """Words of a string column with their rows and the hashes of word and beginnings, one array each (0: too short), and the bytes of each word."""
     words = Words(column, "plain")
     whole = words.hash
     out = [whole]
@@ -202,19 +255,23 @@ def _features(column):
             to = np.where(far, words.start + k, words.start)
             h = mix((sums[to] - sums[words.start]) * down[words.start] + np.uint64(k))
             out.append(np.where(far, h, np.uint64(0)))
-    return words.row(), out
+    return words.row(), out, words.end() - words.start
 
 
-def _both(part, restorer):
-    """Features of the texts and of their restored tokens."""
+def _both(part, restorer, hashes=None, longest=0):
+    """Features of the texts and of their readings; words cut apart are looked for where ``hashes`` are known."""
     texts = [t or "" for t in part.column("text").to_pylist()]
     plain = _features(pa.array(texts, pa.large_string()))
-    restored = _features(pa.array([restorer(t) for t in texts], pa.large_string()))
-    return np.concatenate([plain[0], restored[0]]), [np.concatenate(pair) for pair in zip(plain[1], restored[1])]
+    read, placed = zip(*map(restorer, texts))
+    if hashes is not None:
+        cut = restorer.cut([t.lower() for t in texts], hashes, longest), restorer.cut(placed, hashes, longest)
+        read = [" ".join(x) for x in zip(read, *cut)]
+    restored = _features(pa.array(read, pa.large_string()))
+    return np.concatenate([plain[0], restored[0]]), [np.concatenate(pair) for pair in zip(plain[1], restored[1])], np.concatenate([plain[2], restored[2]])
 
 
 def learn(rows, model, features=FEATURES):
-    """Evidence of words: ``(sorted hashes, lower share of toxic texts)`` from ``text, toxic`` rows.
+    """Evidence of words: ``(sorted hashes, lower share of toxic texts, share without any, bytes of the longest)`` from ``text, toxic`` rows.
 
     ``rows`` are bounded; equal texts count once. A word counts if at least
     three toxic texts have it, its excess is beyond what the best of so many
@@ -226,25 +283,28 @@ def learn(rows, model, features=FEATURES):
         restorer = Restorer(shipped.value)
         for batch in batches:
             for part in slices(batch):
-                row, hashes = _both(part, restorer)
+                row, hashes, size = _both(part, restorer)
                 toxic = np.asarray(part.column("toxic").to_numpy(zero_copy_only=False), np.int64)
-                row, values = np.tile(row, len(hashes)), np.concatenate(hashes)
-                row, values = row[values != 0], values[values != 0]
+                row, values, size = np.tile(row, len(hashes)), np.concatenate(hashes), np.tile(size, len(hashes))
+                row, values, size = row[values != 0], values[values != 0], size[values != 0]
                 order = np.lexsort((values, row))
-                row, values = row[order], values[order]
+                row, values, size = row[order], values[order], size[order]
                 new = np.ones(len(row), bool)
                 new[1:] = (row[1:] != row[:-1]) | (values[1:] != values[:-1])
                 keys, at = np.unique(values[new], return_inverse=True)
                 n = np.bincount(at, minlength=len(keys))
                 t = np.bincount(at, weights=toxic[row[new]], minlength=len(keys)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64()), pa.array(t)], names=["h", "n", "t"])
+                most = np.zeros(len(keys), np.int64)
+                np.maximum.at(most, at, size[new])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64()), pa.array(t), pa.array(most)], names=["h", "n", "t", "size"])
 
     rows = rows.dropDuplicates(["text", "toxic"])
     size, toxic = rows.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not toxic or toxic == size:
-        return np.zeros(0, np.uint64), np.zeros(0), (toxic or 0) / max(size, 1)
+        return np.zeros(0, np.uint64), np.zeros(0), (toxic or 0) / max(size, 1), 0
     rate = toxic / size
-    found = rows.select("text", "toxic").mapInArrow(add, "h long, n long, t long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    found = rows.select("text", "toxic").mapInArrow(add, "h long, n long, t long, size long").groupBy("h")
+    found = found.agg(F.sum("n").alias("n"), F.sum("t").alias("t"), F.max("size").alias("size"))
     n, t = F.col("n").cast("double"), F.col("t").cast("double")
     side = F.when(n > t, (n - t) * F.log((n - t) / n / (1 - rate))).otherwise(0.0)
     found = found.filter(F.col("t") >= 3).withColumn("excess", F.when(t / n > rate, t * F.log(t / n / rate) + side).otherwise(0.0))
@@ -252,8 +312,8 @@ def learn(rows, model, features=FEATURES):
     least = math.log(max(len(found), 1))
     z = 1.64
     lower = lambda n, t: (t / n + z * z / (2 * n) - z * math.sqrt(t / n * (1 - t / n) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-    kept = sorted((h & (1 << 64) - 1, lower(n, t)) for h, n, t, excess in found if excess >= least and lower(n, t) >= SURE)
-    return np.array([h for h, _ in kept], np.uint64), np.array([share for _, share in kept]), 0.0
+    kept = sorted((h & (1 << 64) - 1, lower(n, t), size) for h, n, t, size, excess in found if excess >= least and lower(n, t) >= SURE)
+    return np.array([h for h, _, _ in kept], np.uint64), np.array([share for _, share, _ in kept]), 0.0, max((size for _, _, size in kept), default=0)
 
 
 def score(docs, model, evidence, id="doc_id", text="text", keep=()):
@@ -261,13 +321,13 @@ def score(docs, model, evidence, id="doc_id", text="text", keep=()):
     shipped = docs.sparkSession.sparkContext.broadcast((model, evidence))
 
     def run(batches):
-        model, (hashes, shares, base) = shipped.value
+        model, (hashes, shares, base, longest) = shipped.value
         restorer = Restorer(model)
         for batch in batches:
             for part in slices(batch):
                 clean = np.full(part.num_rows, 1.0 - base)
                 if len(hashes):
-                    row, values = _both(part, restorer)
+                    row, values, _ = _both(part, restorer, hashes, longest)
                     share = np.zeros(len(row))
                     for v in values:
                         at = np.minimum(np.searchsorted(hashes, v), len(hashes) - 1)

@@ -109,6 +109,18 @@ def test_toxic_texts_and_their_disguises(spark, make, odd):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if not r.predicted}
 
 
+def test_disguises_anywhere_in_a_word(spark, make):
+    rows, labels = toxic_rows()
+    bad = ["idioot", "m o   r   o n", "i\u00a0d\u00a0i\u00a0o\u00a0t", "m:o:r:o:n", "i~d~i~o~t", "m#o#r#o#n", "i;d;i;o;t", "m\u00b7o\u00b7r\u00b7o\u00b7n",
+           "i d ! o t", "s t u p ! d", "id iot", "st up id", "stup id", "id:iot", "mor\u00a0on", "stup1d", "m0ron", "idio7"]
+    hidden = {5000 + k: f"the garden was {x} and the river ran slowly" for k, x in enumerate(bad)}
+    clean = {6000 + k: f"the garden was {x} and the river ran slowly" for k, x in enumerate(["green", "old", "i n", "ho use", "hous3", "st one"])}
+    table = spark.createDataFrame(labels, "doc_id long, toxic long")
+    got = {r.doc_id: r.predicted for r in toxicity.predictions(make(rows + list((hidden | clean).items())), table).collect()}
+    assert [x for k, x in enumerate(bad) if not got[5000 + k]] == []
+    assert [k for k in clean if got[k]] == []
+
+
 def test_held_out_labels_teach_nothing(spark, make):
     rows, labels = toxic_rows(200)
     table = spark.createDataFrame([x for x in labels if zlib.crc32(str(x[0]).encode()) % 3 == 1], "doc_id long, toxic long")
