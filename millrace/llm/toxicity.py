@@ -23,11 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import _P, KINDS, Words, mix, powers, slices
+from .shared import stored
 
 #: Labelled texts to learn from, at most; those with the least hash of their id.
 LEARN_ROWS = 50_000
-#: Words and beginnings kept by evidence, at most.
-FEATURES = 20_000
 THRESHOLD = 0.7
 #: Least lower share of toxic texts for a word to tell anything.
 SURE = 0.5
@@ -270,12 +269,12 @@ def _both(part, restorer, hashes=None, longest=0):
     return np.concatenate([plain[0], restored[0]]), [np.concatenate(pair) for pair in zip(plain[1], restored[1])], np.concatenate([plain[2], restored[2]])
 
 
-def learn(rows, model, features=FEATURES):
+def learn(rows, model):
     """Evidence of words: ``(sorted hashes, lower share of toxic texts, share without any, bytes of the longest)`` from ``text, toxic`` rows.
 
     ``rows`` are bounded; equal texts count once. A word counts if at least
-    three toxic texts have it, its excess is beyond what the best of so many
-    words would show by chance, and its lower share is at least ``SURE``.
+    three toxic texts have it, its excess is beyond what the best of all the
+    words tested would show by chance, and its lower share is at least ``SURE``.
     """
     shipped = rows.sparkSession.sparkContext.broadcast(model)
 
@@ -308,11 +307,13 @@ def learn(rows, model, features=FEATURES):
     n, t = F.col("n").cast("double"), F.col("t").cast("double")
     side = F.when(n > t, (n - t) * F.log((n - t) / n / (1 - rate))).otherwise(0.0)
     found = found.filter(F.col("t") >= 3).withColumn("excess", F.when(t / n > rate, t * F.log(t / n / rate) + side).otherwise(0.0))
-    found = found.orderBy(F.desc("excess"), "h").limit(features).collect()
-    least = math.log(max(len(found), 1))
+    found = stored(found, "toxic-words")
     z = 1.64
-    lower = lambda n, t: (t / n + z * z / (2 * n) - z * math.sqrt(t / n * (1 - t / n) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-    kept = sorted((h & (1 << 64) - 1, lower(n, t), size) for h, n, t, size, excess in found if excess >= least and lower(n, t) >= SURE)
+    p = t / n
+    lower = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    least = math.log(max(found.count(), 1))
+    found = found.select("h", "size", "excess", lower.alias("lower")).filter((F.col("excess") >= least) & (F.col("lower") >= SURE))
+    kept = sorted((h & (1 << 64) - 1, share, size) for h, size, _, share in found.collect())
     return np.array([h for h, _, _ in kept], np.uint64), np.array([share for _, share, _ in kept]), 0.0, max((size for _, _, size in kept), default=0)
 
 

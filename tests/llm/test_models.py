@@ -121,6 +121,20 @@ def test_disguises_anywhere_in_a_word(spark, make):
     assert [k for k in clean if got[k]] == []
 
 
+def test_all_tested_words_count(spark):
+    """The bound rises with the words tested, beyond any number of them."""
+    words = ["".join("abcdefghijklmnopqrstuvwxyzabcdef"[2 * p + (k >> p & 1)] for p in range(16)) for k in range(40_000)]
+    model = toxicity.Model(np.zeros(28**4))
+
+    def learned(words):
+        rows = [(" ".join(words) + f" bad {k}", 1) for k in range(15)] + [(f"kind {k}", 0) for k in range(15)]
+        return len(toxicity.learn(spark.createDataFrame(rows, "text string, toxic long"), model)[0])
+
+    # Fifteen of fifteen at a rate of one half: an excess of 15 log 2 = 10.4, under log 40000 = 10.6, over log 20000 = 9.9.
+    assert learned(words) == 0
+    assert learned(words[:5]) > 5
+
+
 def test_held_out_labels_teach_nothing(spark, make):
     rows, labels = toxic_rows(200)
     table = spark.createDataFrame([x for x in labels if zlib.crc32(str(x[0]).encode()) % 3 == 1], "doc_id long, toxic long")
