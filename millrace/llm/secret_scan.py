@@ -1,16 +1,17 @@
 """Secret scans: three patterns, and a battery of randomness tests for what no pattern names.
 
-A candidate is a run of key characters that mixes letters and digits. Its
-encoding is the smallest alphabet that holds it. Against "drawn uniformly from
-that alphabet" stand three tests: chi-squared of the symbol counts, runs above
-and below the alphabet's middle, and correlation of neighbours; their p-values
-are combined by Fisher's method, and a candidate that fails them is structured
-text. Against "ordinary text" stands the number of equal pairs of symbols, whose
-mean and spread under the corpus's own symbol frequencies follow from the length,
-so a short run cannot look random by chance alone; Benjamini-Hochberg over the
-candidates of a text bounds the share of false discoveries.
-
-The symbol frequencies are counted over all texts; only 128 sums reach the driver.
+A candidate is a run of key characters with a letter, or a part of one between
+the signs / - _ and +. Its encoding is the smallest alphabet that holds it.
+Against "drawn uniformly from that alphabet" stand three tests: chi-squared of
+the symbol counts, runs above and below the alphabet's middle, and correlation
+of neighbours; their p-values are combined by Fisher's method, and a candidate
+that fails them is structured text. Against "ordinary text" stands the
+likelihood ratio of uniform draws to the corpus's own pairs of neighbours, half
+with their case and half without; under such text a ratio of r has a chance of
+1 / r at most. Benjamini-Hochberg over the candidates of a text bounds the
+share of false discoveries.
+
+The pairs are counted over all texts; only 128 * 128 sums reach the driver.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import bytes_of
+from .arrow import bytes_of, slices
 
 # The three patterns, their least lengths, and the order of kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -35,6 +36,7 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "random")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+PART = re.compile(r"[A-Za-z0-9]{16,}")
 #: Least combined p-value of the battery, and the share of false discoveries in a text.
 BATTERY_LEAST, FALSE_SHARE = 0.001, 0.01
 
@@ -53,9 +55,9 @@ ENCODINGS = {
 
 
 def encoding(token):
-    """Name of the smallest alphabet that holds ``token``; None for letters or digits alone, or for no alphabet."""
+    """Name of the smallest alphabet that holds ``token``; None for digits alone, or for no alphabet."""
     used = set(token)
-    if not used & set(_DIGITS) or not used & set(_UPPER + _LOWER):
+    if not used & set(_UPPER + _LOWER):
         return None
     return next((name for name, alphabet in ENCODINGS.items() if used <= set(alphabet)), None)
 
@@ -104,14 +106,40 @@ def combined(values):
     return min(1.0, math.exp(-half) * total)
 
 
-def ordinary(token, alphabet, frequencies):
-    """p-value under "ordinary text": as few equal pairs of symbols, in draws from the corpus's frequencies."""
-    q = frequencies[[ord(c) for c in alphabet]]
-    q = q / q.sum()
-    counts = np.bincount([alphabet.index(c) for c in token], minlength=len(alphabet))
-    mean, deviation = _pairs(len(token), q)
-    z = (float((counts * (counts - 1)).sum()) - mean) / deviation
-    return 0.5 * math.erfc(-z / math.sqrt(2))
+class Ordinary:
+    """Ordinary text: pairs of neighbours as in the rest of the corpus, within an alphabet."""
+
+    def __init__(self, counts, strength=2.0):
+        plain, fold = np.arange(128), np.arange(128)
+        fold[65:91] += 32
+        folded = np.zeros_like(counts)
+        np.add.at(folded, (fold[:, None], fold[None, :]), counts)
+        self.strength, self.tables = strength, {}
+        for name, alphabet in ENCODINGS.items():
+            codes = np.array([ord(c) for c in alphabet])
+            both = self.tables[name] = []
+            for n, to in ((counts, plain), (folded, fold)):
+                inside = np.unique(to[codes])
+                pairs = np.zeros((128, 128))
+                pairs[np.ix_(inside, inside)] = n[np.ix_(inside, inside)]
+                first = (pairs.sum(axis=0) + 1) / (pairs.sum() + len(inside))
+                # A folded letter stands for as many symbols of the alphabet.
+                both.append((to, pairs, pairs.sum(axis=1), first, np.log(np.maximum(np.bincount(to[codes], minlength=128), 1))))
+
+    def __call__(self, token, name):
+        """p-value at most: ordinary text being as much likelier under uniform draws."""
+        code = np.frombuffer(token.encode(), np.uint8)
+        said = []
+        for to, pairs, rows, first, symbols in self.tables[name]:
+            x = to[code].astype(np.int64)
+            a, b = x[:-1], x[1:]
+            # The token's own pairs are no evidence of its being ordinary.
+            _, at, own = np.unique(a * 128 + b, return_inverse=True, return_counts=True)
+            n = np.maximum(pairs[a, b] - own[at], 0) + self.strength * first[b]
+            then = np.log(n / (np.maximum(rows[a] - np.bincount(a, minlength=128)[a], 0) + self.strength))
+            said.append(math.log(first[x[0]]) + float(then.sum()) - float(symbols[x].sum()))
+        text = np.logaddexp(*said) - math.log(2)
+        return math.exp(min(0.0, float(text) + len(code) * math.log(len(ENCODINGS[name]))))
 
 
 def discoveries(values, share=FALSE_SHARE):
@@ -133,38 +161,58 @@ def base_spans(text):
     return sorted(out)
 
 
-def random_spans(text, base, frequencies):
-    """Spans of the battery that touch none of ``base``."""
-    found, values = [], []
+def candidates(text):
+    """``(start, end)`` of the runs of key characters, and of their parts between signs."""
     for m in CANDIDATE.finditer(text):
-        kind = encoding(m[0])
-        if kind and not any(s < m.end() and m.start() < e for s, _, e in base):
-            alphabet = ENCODINGS[kind]
-            if combined(battery(m[0], alphabet)) >= BATTERY_LEAST:
-                found.append((m.start(), 3, m.end()))
-                values.append(ordinary(m[0], alphabet, frequencies))
-    return [found[i] for i in sorted(discoveries(values))]
+        yield m.span()
+        yield from (p.span() for p in PART.finditer(text, *m.span()) if p.span() != m.span())
+
+
+def random_spans(text, base, ordinary):
+    """Spans of the battery that touch none of ``base``; of a run and its part, both found, the run."""
+    found, values = [], []
+    for start, end in candidates(text):
+        token = text[start:end]
+        kind = encoding(token)
+        if kind and not any(s < end and start < e for s, _, e in base):
+            value = ordinary(token, kind)
+            # Beyond FALSE_SHARE nothing is a discovery.
+            if value > FALSE_SHARE or combined(battery(token, ENCODINGS[kind])) >= BATTERY_LEAST:
+                found.append((start, 3, end))
+                values.append(value)
+    out, until = [], -1
+    for start, kind, end in sorted((found[i] for i in discoveries(values)), key=lambda x: (x[0], -x[2])):
+        if end > until:
+            out.append((start, kind, end))
+            until = end
+    return out
 
 
 def printed(spans):
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
 
 
-def frequencies(docs, text="text"):
-    """Occurrences of the 128 ASCII characters in all texts, one added to each."""
+def neighbours(docs, text="text"):
+    """Occurrences of the pairs of ASCII characters beside each other in all texts."""
 
     def count(batches):
-        total = np.zeros(128, np.int64)
+        total = np.zeros(128 * 128, np.int64)
         for batch in batches:
-            data, _ = bytes_of(batch.column("text"))
-            total += np.bincount(data, minlength=256)[:128]
-        yield pa.RecordBatch.from_arrays([pa.array(range(128), pa.int32()), pa.array(total)], names=["c", "n"])
+            for part in slices(batch):
+                data, offsets = bytes_of(part.column("text"))
+                pairs = data[:-1].astype(np.int64) * 128 + data[1:]
+                inside = (data[:-1] < 128) & (data[1:] < 128)
+                edges = offsets[1:-1] - 1
+                inside[edges[(edges >= 0) & (edges < len(inside))]] = False
+                total += np.bincount(pairs[inside], minlength=128 * 128)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["c", "n"])
 
     counts = docs.select(F.col(text).alias("text")).mapInArrow(count, "c int, n long").groupBy("c").sum("n").collect()
-    out = np.ones(128)
+    out = np.zeros(128 * 128)
     for c, n in counts:
-        out[c] += n
-    return out
+        out[c] = n
+    return out.reshape(128, 128)
 
 
 def scan(docs, id="doc_id", text="text"):
@@ -176,7 +224,7 @@ def scan(docs, id="doc_id", text="text"):
     has none; rows are judged one by one, so repeats and null ids are kept;
     other columns are not read.
     """
-    q = frequencies(docs, text)
+    q = Ordinary(neighbours(docs, text))
 
     def run(batches):
         for batch in batches:
@@ -203,7 +251,7 @@ def scan(docs, id="doc_id", text="text"):
 
 def masked(docs, text="text", mark="[secret]"):
     """``docs`` with every secret in the text replaced by ``mark``; other columns and null texts stay."""
-    q = frequencies(docs, text)
+    q = Ordinary(neighbours(docs, text))
 
     def hide(said):
         base = base_spans(said)

@@ -43,6 +43,22 @@ def test_battery_finds_keys_and_leaves_words(make):
     assert not any("random" in got[k] for k in got if k >= 1000)
 
 
+def test_battery_finds_short_keys(make):
+    rng = random.Random(4)
+    prose = "the quick brown fox jumps over the lazy dog and Internationalization2024 of INCOMPREHENSIBILITIES goes on in src/main/python " * 3
+    up, low, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    rows = [(k, prose) for k in range(200)]
+    keys = {}
+    for alphabet in (up + low + digits, low + digits, up + digits, up + "234567", up + low):
+        for n in (16, 20):
+            for _ in range(20):
+                keys[1000 + len(keys)] = "".join(rng.choice(alphabet) for _ in range(n))
+    rows += [(k, f"see {v} there") for k, v in keys.items()] + [(5000, "see path/to/the/place/" + keys[1000] + "-final there")]
+    got = {r.doc_id: r.spans for r in secret_scan.scan(make(rows)).collect()}
+    assert sum(f"random:4:{4 + len(v)}" in got[k] for k, v in keys.items()) >= 180
+    assert "random" in got[5000] and not any(got[k] for k in range(200))
+
+
 def test_masks(make, odd):
     df = make([(1, "token = abcdef1 and AKIA" + "B2" * 8 + "."), (2, "clean"), *odd], extra=True)
     out = secret_scan.masked(df)
