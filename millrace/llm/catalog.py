@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import bagminhash, chat, decontaminate, fingerprints, langid, licenses, pieces, secret_scan, substrings, toxicity
+from . import bagminhash, chat, decontaminate, fingerprints, langid, licenses, packing, pieces, secret_scan, substrings, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -145,3 +145,8 @@ def op8_pieces(spark, folder):
 @query("op2_toxicity")
 def op2_toxicity(spark, folder):
     return toxicity.predictions(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op12_packing")
+def op12_packing(spark, folder):
+    return packing.pack(table(spark, folder, "documents"))
