@@ -18,6 +18,7 @@ length is ever gathered in one task.
 from __future__ import annotations
 
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,11 @@ MODEL = "/opt/tokenizers/word_bpe_49k.json"
 CAPACITY = 2048
 END = 0
 #: Distinct words a worker remembers, and the longest of them in characters.
-KNOWN, SHORT = 200_000, 64
+KNOWN, SHORT = 600_000, 64
 #: Text bytes encoded at once; a longer text goes alone.
-BYTES = 1 << 21
+BYTES = 1 << 23
+#: A mark after a letter and what stands in its place.
+MARKS = r"([A-Za-z])([.,;:!?)])", r"\1 \2"
 
 _tokenizers: dict[int, Encoder] = {}
 
@@ -44,8 +47,11 @@ _tokenizers: dict[int, Encoder] = {}
 class Encoder:
     """Ids of whole texts by way of their distinct words.
 
-    The tokenizer's pattern never joins characters across white space, so a
-    text's ids are the ids of its parts between ASCII white space, laid end to end.
+    The tokenizer lowers its text and never joins characters across white space,
+    nor a letter and a mark such as a full stop. So a text's ids are the ids of
+    its parts between ASCII white space and before such marks, laid end to end.
+    Parts in ASCII are lowered first, but for those that may be a marker of the
+    vocabulary; composed letters are left to the tokenizer.
     """
 
     def __init__(self, json):
@@ -55,7 +61,8 @@ class Encoder:
         self._clear()
 
     def _clear(self):
-        self.place, self.flat, self.first = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.known = pa.array([], pa.large_string())
+        self.flat, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     @classmethod
     def of(cls, json):
@@ -65,50 +72,44 @@ class Encoder:
             _tokenizers[key] = cls(json)
         return _tokenizers[key]
 
-    def ids(self, words):
-        """Ids of every word: a flat array and the offsets of the words in it."""
-        if len(self.place) > KNOWN:
+    def _ids(self, words):
+        """A flat array of ids and, for each of ``words``, where its ids begin and how many there are."""
+        if len(self.known) > KNOWN:
             self._clear()
-        new = [w for w in words if w not in self.place]
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        short = [(w, c) for w, c in zip(new, coded) if len(w) <= SHORT]
-        self.place.update({w: i for i, (w, _) in enumerate(short, len(self.place))})
-        self.flat, self.first = _append(self.flat, self.first, [c for _, c in short])
-        if len(short) == len(new):
-            flat, first = self.flat, self.first
-            at = {}
-        else:
-            long = [(w, c) for w, c in zip(new, coded) if len(w) > SHORT]
-            at = {w: i for i, (w, _) in enumerate(long, len(self.place))}
-            flat, first = _append(self.flat, self.first, [c for _, c in long])
-        index = np.fromiter((self.place[w] if w in self.place else at[w] for w in words), np.int64, len(words))
-        size = first[index + 1] - first[index]
-        return flat, first[index], size
+        at = pc.index_in(words, value_set=self.known)
+        lost = pc.is_null(at)
+        new = words.filter(lost).unique()
+        short = pc.less_equal(pc.utf8_length(new), SHORT)
+        new = pa.concat_arrays([new.filter(short), new.filter(pc.invert(short))])
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(new.to_pylist(), add_special_tokens=False)]
+        flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(coded), np.uint32)])
+        first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)))])
+        index = pc.fill_null(at, 0).to_numpy().astype(np.int64)
+        index[lost.to_numpy(zero_copy_only=False)] = len(self.known) + pc.index_in(words.filter(lost), value_set=new).to_numpy()
+        kept = len(self.known) + pc.sum(short, min_count=0).as_py()
+        self.known = pa.concat_arrays([self.known, new.slice(0, kept - len(self.known))])
+        self.flat, self.first = flat[: first[kept]], first[: kept + 1]
+        return flat, first[index], first[index + 1] - first[index]
 
     def encode(self, texts, end=END):
         """Flat ids of a string array, ``end`` after each text, and the offsets of the texts; null is empty."""
-        rows = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
-        words = rows.flatten().dictionary_encode()
+        texts = pc.replace_substring_regex(pc.fill_null(texts.cast(pa.large_string()), ""), *MARKS)
+        rows = pc.ascii_split_whitespace(texts)
         offsets = rows.offsets.to_numpy().astype(np.int64)
-        flat, start, size = self.ids(words.dictionary.to_pylist())
-        which = words.indices.to_numpy(zero_copy_only=False)
-        ends = np.concatenate([[0], np.cumsum(size[which])]) if len(which) else np.zeros(1, np.int64)
+        words = rows.flatten()
+        plain = pc.and_not(pc.string_is_ascii(words), pc.match_substring(words, "|"))
+        flat, start, size = self._ids(pc.if_else(plain, pc.ascii_lower(words), words))
+        ends = np.concatenate([[0], np.cumsum(size)])
         total = ends[offsets - offsets[0]]
         # Each text's ids move on by one place for every closing id before them.
         closed = total + np.arange(len(total))
         out = np.full(closed[-1], end, np.uint32)
         inside = np.ones(len(out), bool)
         inside[closed[1:] - 1] = False
-        out[inside] = flat[np.repeat(start[which] - ends[:-1], size[which]) + np.arange(ends[-1])]
+        out[inside] = flat[np.repeat(start - ends[:-1], size) + np.arange(ends[-1])]
         return out, closed
 
 
-def _append(flat, first, lists):
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    more = np.fromiter((i for c in lists for i in c), np.uint32, int(sizes.sum()))
-    return np.concatenate([flat, more]), np.concatenate([first, first[-1] + np.cumsum(sizes)])
-
-
 def ranks(values, seen):
     """Rank of each value among its equals, counted on from ``seen``, which is brought up to date."""
     order = np.argsort(values, kind="stable")
