@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import bagminhash, chat, decontaminate, fingerprints, langid, licenses, packing, pieces, secret_scan, substrings, toxicity
+from . import bagminhash, chat, decontaminate, fingerprints, langid, licenses, packing, pieces, secret_scan, substrings, toxicity, trie
 
 QUERIES, ORACLES = {}, {}
 
@@ -150,3 +150,48 @@ def op2_toxicity(spark, folder):
 @query("op12_packing")
 def op12_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"))
+
+
+#: CRC-32 of the text ``{text}`` of ASCII characters, bit by bit.
+CRC32 = """xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split({text}, ''), lambda ch: ord(ch)::BIGINT),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+
+@query(
+    "op11_prefixes",
+    f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+c AS (SELECT conv_id, {CRC32.format(text="conv_id::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, 0 AS part, p, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND p <= h
+  UNION ALL
+  SELECT conv_id, 1, p, role, text FROM t JOIN c USING (conv_id) WHERE p > h
+),
+u AS (
+  SELECT conv_id, row_number() OVER w AS depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+    sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, ',') OVER w) AS node
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, p ROWS UNBOUNDED PRECEDING)
+),
+m AS (SELECT conv_id, depth, node, words FROM u UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+l AS (SELECT conv_id, max(depth) AS depth FROM m GROUP BY conv_id),
+e AS (SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ends FROM l JOIN m USING (conv_id, depth) GROUP BY node),
+n AS (SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(words) AS words FROM m GROUP BY node),
+k AS (
+  SELECT n.node, p.node AS up, q.conv_id AS parent_conv_id FROM n JOIN m p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1 JOIN n q ON q.node = p.node
+),
+f AS (SELECT up AS node, count(*) AS n_children FROM k GROUP BY up),
+s AS (
+  SELECT m.node, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n_convs - 1) * n.words) AS saved
+  FROM n JOIN m USING (conv_id) LEFT JOIN f ON f.node = n.node WHERE m.depth <= n.depth GROUP BY m.node
+)
+SELECT n.conv_id, n.depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved::BIGINT AS saved_tokens,
+  sha256(coalesce(ends, '')) AS ends_sha256
+FROM n JOIN s USING (node) LEFT JOIN k USING (node) LEFT JOIN f USING (node) LEFT JOIN e USING (node)
+""",
+)
+def op11_prefixes(spark, folder):
+    return trie.rebuilt_prefixes(table(spark, folder, "conversations")).drop("n_words", "prefix_words")
