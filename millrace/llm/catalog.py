@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import bagminhash, chat, decontaminate, fingerprints, langid, licenses, packing, pieces, secret_scan, substrings, toxicity, trie
+from . import bagminhash, chat, decontaminate, fingerprints, langid, licenses, negatives, packing, pieces, secret_scan, substrings, toxicity, trie
 
 QUERIES, ORACLES = {}, {}
 
@@ -195,3 +195,29 @@ FROM n JOIN s USING (node) LEFT JOIN k USING (node) LEFT JOIN f USING (node) LEF
 )
 def op11_prefixes(spark, folder):
     return trie.rebuilt_prefixes(table(spark, folder, "conversations")).drop("n_words", "prefix_words")
+
+
+@query(
+    "op13_hard_negatives",
+    """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank,
+  s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+QUALIFY rank <= 5
+""",
+)
+def op13_hard_negatives(spark, folder):
+    rows = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows, label=label)
