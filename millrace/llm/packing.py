@@ -37,7 +37,7 @@ END = 0
 #: Distinct words a worker remembers, and the longest of them in characters.
 KNOWN, SHORT = 600_000, 64
 #: Text bytes encoded at once; a longer text goes alone.
-BYTES = 1 << 23
+BYTES = 1 << 22
 #: A mark after a letter and what stands in its place.
 MARKS = r"([A-Za-z])([.,;:!?)])", r"\1 \2"
 
