@@ -49,6 +49,8 @@ GRIDS = {
     },
 }
 
+PARAMETERS = list(GRIDS["quick"])
+
 
 def grid_size(params):
     return len(list(product(*params.values())))
@@ -61,22 +63,32 @@ def with_grid(df, params) -> DataFrame:
     return df
 
 
-def run(entries, bars, params, sentiment=None, min_trades=20) -> DataFrame:
-    """Metrics of every parameter set, best return first.
+COUNTS = {
+    "n_trades": F.lit(True),
+    "n_stops": F.col("exit_reason") == "STOP_LOSS",
+    "n_targets": F.col("exit_reason") == "TAKE_PROFIT",
+    "n_open": F.col("exit_reason") == "OPEN",
+    "n_winners": F.col("exit_price") > F.col("entry_price"),
+}
+
+
+def run(entries, bars, params, bench, calendar=None, sentiment=None, capital=100_000.0, stake=100_000.0, min_trades=20) -> DataFrame:
+    """Metrics of the daily equity of every parameter set, best return first; sets without a trade included.
 
     ``entries`` are gated candidates with ``ticker, entry_date, entry_price,
     atr, rsi, score, headline_count`` under the loosest limits.
     Exits depend on the stop, target and hold parameters only, so each entry is
     labelled once per such triple; the gate parameters then only pick rows, and
-    the cooldown of the set accepts them in order per ticker.
+    the cooldown of the set accepts them in order per ticker.  Accepted trades
+    are sized for ``stake`` and become one equity curve per set over the days
+    of ``calendar`` (default: of the bars), from ``capital`` (a number or a
+    scalar) on; ``bench`` has ``date, close`` over the same days.
     """
     exit_params = {k: params[k] for k in ("atr_multiplier", "take_profit_pct", "trend_fail_min_hold")}
     gate_params = {k: v for k, v in params.items() if k not in exit_params}
-    spread = with_grid(entries, exit_params)
-    sized = spread.withColumns(
-        {"dist": F.col("atr") * F.col("atr_multiplier"), "trend_min_hold": F.col("trend_fail_min_hold")}
-    )
-    labelled = trades.label_exits(sized, bars, sentiment)
+    names = [*exit_params, *gate_params]
+    spread = trades.size(with_grid(entries, exit_params), stake, multiplier=F.col("atr_multiplier"))
+    labelled = trades.label_exits(spread.withColumn("trend_min_hold", F.col("trend_fail_min_hold")), bars, sentiment)
     gated = with_grid(labelled, gate_params)
     passes = F.lit(True)
     if "sentiment_floor" in gate_params:
@@ -85,43 +97,42 @@ def run(entries, bars, params, sentiment=None, min_trades=20) -> DataFrame:
         passes = passes & (F.col("rsi") >= F.col("rsi_entry_min"))
     if "min_headlines" in gate_params:
         passes = passes & (F.col("headline_count") >= F.col("min_headlines"))
-    names = [*exit_params, *gate_params]
-    kept = gated.filter(passes).withColumn("pnl", F.col("exit_price") / F.col("entry_price") - 1)
+    kept = gated.filter(passes)
     if "reentry_cooldown_days" in gate_params:
         kept = trades.cooldown(kept, "reentry_cooldown_days", ["ticker", *names])
-    metrics = kept.groupBy(*names).agg(
-        F.avg("pnl").alias("total_return"),
-        F.try_divide(F.avg("pnl"), F.stddev_samp("pnl")).alias("sharpe"),
-        F.min("pnl").alias("max_drawdown"),
-        F.count(F.lit(1)).alias("n_trades"),
-        F.count_if(F.col("exit_reason") == "STOP_LOSS").alias("n_stops"),
-        F.count_if(F.col("exit_reason") == "TAKE_PROFIT").alias("n_targets"),
-        F.count_if(F.col("exit_reason") == "OPEN").alias("n_open"),
-        F.count_if(F.col("pnl") > 0).alias("n_winners"),
-    )
+    calendar = (bars if calendar is None else calendar).select("date").distinct()
+    curves = trades.equity(kept, bars, calendar, capital, names, with_grid(bars.sparkSession.range(1), params), COUNTS)
+    metrics = trades.performance(curves, bench, capital, by=names, counts=COUNTS)
     n = F.col("n_trades").cast("double")
     edges = F.lit(False)
     for name in names:
         if len(params[name]) > 1:
             edges = edges | F.col(name).isin(min(params[name]), max(params[name]))
     note = F.when(F.col("n_trades") < min_trades, f"<{min_trades} trades").when(edges, "extreme value").otherwise("")
+    rate = lambda c: F.coalesce(F.try_divide(F.col(c), n), F.lit(0.0))
     return metrics.withColumns(
-        {"win_rate": F.col("n_winners") / n, "stop_rate": F.col("n_stops") / n, "note": note}
+        {"win_rate": rate("n_winners"), "stop_rate": rate("n_stops"), "note": note}
     ).orderBy(F.desc("total_return"), *names)
 
 
-def top_unique(results, n, keys, decimals=4) -> DataFrame:
-    """Best ``n`` distinct sets by return, then those by Sharpe not among them, with their order."""
+def top_unique(results, n, keys, decimals=4, digits=7) -> DataFrame:
+    """Best ``n`` distinct sets by return, then those by Sharpe not among them, with their order.
+
+    Metrics are compared to ``digits`` places, as their last bits hang on the
+    order of a sum; equal ones follow the keys, then all other parameters.
+    """
     rounded = [F.round(F.col(k).cast("double"), decimals).alias(f"_k_{k}") for k in keys]
     marked = results.select("*", *rounded)
     key_names = [f"_k_{k}" for k in keys]
 
     def best(metric, source):
         rest = [c for c in marked.columns if c not in key_names]
-        first = F.max_by(F.struct(*rest), F.struct(F.col(metric), *[-F.col(k) for k in key_names])).alias("_r")
+        rank = F.round(metric, digits)
+        others = [F.col(c) for c in PARAMETERS if c in marked.columns]
+        first = F.min_by(F.struct(*rest), F.struct(-rank, *others)).alias("_r")
         unique = marked.filter(F.col(metric).isNotNull()).groupBy(*key_names).agg(first).select(*key_names, "_r.*")
-        top = unique.orderBy(F.desc(metric), *key_names).limit(n)
-        order = Window.partitionBy(F.lit(1)).orderBy(F.desc(metric), *key_names)
+        top = unique.orderBy(F.desc(rank), *key_names).limit(n)
+        order = Window.partitionBy(F.lit(1)).orderBy(F.desc(rank), *key_names)
         return top.withColumn("place", F.row_number().over(order)).withColumn("source", F.lit(source))
 
     by_return, by_sharpe = best("total_return", "return"), best("sharpe", "sharpe")
@@ -142,7 +153,7 @@ def verdict(ret, sharpe):
 
 def walk_forward(in_sample, out_of_sample, names) -> DataFrame:
     """In-sample sets beside their result on another window, with a verdict."""
-    metrics = ["total_return", "sharpe", "win_rate", "n_trades", "max_drawdown", "stop_rate"]
+    metrics = ["total_return", "ann_return", "sharpe", "win_rate", "n_trades", "max_drawdown", "ann_vol", "alpha", "stop_rate"]
     a = in_sample.select(*names, *[F.col(m).alias(f"is_{m}") for m in metrics])
     b = out_of_sample.select(*names, *[F.col(m).alias(f"oos_{m}") for m in metrics])
     both = a.join(b, list(names), "left")

@@ -40,12 +40,6 @@ def next_entry(bars, extra=("atr",)) -> DataFrame:
     )
 
 
-def enter_next_day(signals, bars) -> DataFrame:
-    """Entry on the ticker's next day at its open; the last day's signals have none."""
-    nexts = next_entry(bars, ()).select("ticker", "date", "entry_date", "entry_price")
-    return signals.join(nexts, ["ticker", "date"]).filter(F.col("entry_date").isNotNull())
-
-
 def size(df, capital=100_000.0, cash=None, risk=0.02, cap=0.15, multiplier=3.5, fallback=0.05) -> DataFrame:
     """Shares by risk to the stop, capped by a share of cash; without ATR 5 % of price stands in."""
     cash = capital if cash is None else cash
@@ -219,56 +213,80 @@ def position_report(positions) -> DataFrame:
     )
 
 
-def equity(trades, bars, calendar, capital=100_000.0) -> DataFrame:
-    """Cash plus open positions on every calendar day.
+def equity(trades, bars, calendar, capital=100_000.0, by=(), groups=None, counts=None) -> DataFrame:
+    """Cash plus open positions on every calendar day, per ``by``.
 
-    Open shares and their cost are running sums per ticker over its days, so no
-    trade-by-day table is built; a day without a bar values the shares at cost.
+    Open shares and their cost are running sums over the days on which a ticker
+    trades; each stands until the ticker's next trade and is laid over just the
+    days it is held, so neither a trade-by-day nor a ticker-by-day table is
+    built, and ``trades`` are read once.  A day without a bar values the shares
+    at cost.  With ``by``, ``groups`` holds all combinations, those without a
+    trade included.  ``counts`` maps names to conditions; the trades that meet
+    them are counted on their entry day.
     """
+    by, counts = list(by), counts or {}
+    if by and groups is None:
+        raise ValueError("groups must hold every combination of by")
     entry, out = F.col("entry_price") * F.col("shares"), F.col("exit_price") * F.col("shares")
-    flows = trades.select(
-        "ticker",
-        F.inline(
-            F.array(
-                F.struct(F.col("entry_date").alias("date"), F.col("shares").alias("d_shares"), entry.alias("d_cost"), (-entry).alias("d_cash")),
-                F.struct(F.col("exit_date").alias("date"), (-F.col("shares")).alias("d_shares"), (-entry).alias("d_cost"), out.alias("d_cash")),
-            )
-        ),
-    ).groupBy("ticker", "date").agg(F.sum("d_shares").alias("d_shares"), F.sum("d_cost").alias("d_cost"), F.sum("d_cash").alias("d_cash"))
+    opened = [F.when(c, 1).otherwise(0).alias(n) for n, c in counts.items()]
+    closed = [F.lit(0).alias(n) for n in counts]
+    flows = (
+        trades.select(
+            *by,
+            "ticker",
+            F.inline(
+                F.array(
+                    F.struct(F.col("entry_date").alias("date"), F.col("shares").alias("d_shares"), entry.alias("d_cost"), (-entry).alias("d_cash"), *opened),
+                    F.struct(F.col("exit_date").alias("date"), (-F.col("shares")).alias("d_shares"), (-entry).alias("d_cost"), out.alias("d_cash"), *closed),
+                )
+            ),
+        )
+        .groupBy(*by, "ticker", "date")
+        .agg(*[F.sum(c).alias(c) for c in ("d_shares", "d_cost", "d_cash", *counts)])
+    )
+    order = Window.partitionBy(*by, "ticker").orderBy("date")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     last = calendar.agg(F.max("date")).scalar()
-    spans = flows.groupBy("ticker").agg(F.min("date").alias("_a")).filter(F.col("_a") <= last)
-    days = spans.select("ticker", F.explode(F.sequence("_a", last, F.expr("interval 1 day"))).alias("date"))
-    w = ts.by_time().rowsBetween(Window.unboundedPreceding, 0)
-    held = (
-        days.join(flows, ["ticker", "date"], "left")
-        .withColumns({"shares": F.sum("d_shares").over(w), "cost": F.sum("d_cost").over(w)})
-        .join(bars.select("ticker", "date", "close"), ["ticker", "date"], "left")
+    stands = flows.withColumns(
+        {"shares": F.sum("d_shares").over(so_far), "cost": F.sum("d_cost").over(so_far), "_next": F.lead("date").over(order)}
     )
+    until = F.when(F.col("shares") > 0, F.greatest("date", F.coalesce(F.date_sub("_next", 1), last))).otherwise(F.col("date"))
+    days = stands.select("*", F.posexplode(F.sequence("date", until, F.expr("interval 1 day"))).alias("_nth", "_day"))
+    once = [F.when(F.col("_nth") == 0, F.col(c)).alias(c) for c in ("d_cash", *counts)]
+    days = days.select(*by, "ticker", F.col("_day").alias("date"), "shares", "cost", *once)
+    valued = days.join(bars.select("ticker", "date", "close"), ["ticker", "date"], "left")
     value = F.when(F.col("shares") > 0, F.coalesce(F.col("shares") * F.col("close"), F.col("cost"))).otherwise(0.0)
-    daily = held.groupBy("date").agg(F.sum(value).alias("held"), F.sum("d_cash").alias("d_cash"))
-    # one row per day is left: the running cash is a window over the calendar
-    all_days = calendar.select("date").distinct().join(daily, "date", "full").withColumn("_p", F.lit(1))
-    cash = F.coalesce(F.sum("d_cash").over(Window.partitionBy("_p").orderBy("date")), F.lit(0.0))
+    moved = valued.select(*by, "date", value.alias("held"), "d_cash", *counts, F.lit(False).alias("_open"))
+    dates = calendar.agg(F.collect_set("date")).scalar()
+    blank = [F.lit(0).alias(n) for n in counts]
+    groups = calendar.sparkSession.range(1).select() if groups is None else groups.select(*by)
+    empty = groups.select(*by, F.explode(dates).alias("date"), F.lit(0.0).alias("held"), F.lit(0.0).alias("d_cash"), *blank, F.lit(True).alias("_open"))
+    daily = moved.unionByName(empty).groupBy(*by, "date").agg(
+        *[F.sum(c).alias(c) for c in ("held", "d_cash", *counts)], F.max("_open").alias("_open")
+    )
+    # one row per group and calendar day is left: the running cash is a window over the calendar
+    along = Window.partitionBy(*(by or [F.lit(1)])).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    worth = F.lit(capital) if isinstance(capital, (int, float)) else capital
     return (
-        all_days.withColumn("equity", F.lit(capital) + cash + F.coalesce("held", F.lit(0.0)))
-        .join(calendar.select("date").distinct(), "date", "left_semi")
-        .select("date", "equity")
+        daily.withColumn("equity", worth + F.sum("d_cash").over(along) + F.col("held"))
+        .filter("_open")
+        .select(*by, "date", "equity", *counts)
     )
 
 
-def performance(equity_days, bench, capital=100_000.0, risk_free=0.04) -> DataFrame:
-    """One row: returns, volatility, Sharpe ratio, drawdown, benchmark return and alpha."""
+def performance(equity_days, bench, capital=100_000.0, risk_free=0.04, by=(), counts=()) -> DataFrame:
+    """One row per ``by``: returns, volatility, Sharpe ratio, drawdown, benchmark return, alpha and sums of ``counts``."""
+    keys = list(by) or ["_p"]
     marked = equity_days.withColumn("_p", F.lit(1))
     rows = marked.withColumns(
-        {"_r": ts.pct_change("equity", "_p"), "_dd": ts.drawdown("equity", "_p")}
+        {"_r": ts.pct_change("equity", keys), "_dd": ts.drawdown("equity", keys)}
     )
-    one = rows.agg(
+    one = rows.groupBy(*by).agg(
         F.max_by("equity", "date").alias("end_value"),
         F.count("_r").alias("n_days"),
         F.stddev_samp("_r").alias("_sd"),
         F.min("_dd").alias("max_drawdown"),
-        F.min("date").alias("_a"),
-        F.max("date").alias("_z"),
+        *[F.sum(c).alias(c) for c in counts],
     )
     spans = bench.agg(F.min_by("close", "date").alias("a"), F.max_by("close", "date").alias("z"))
     bench_return = spans.select(F.col("z") / F.col("a") - 1).scalar()
@@ -287,4 +305,4 @@ def performance(equity_days, bench, capital=100_000.0, risk_free=0.04) -> DataFr
             "sharpe": F.when(F.col("ann_vol") > 0, (F.col("ann_return") - risk_free) / F.col("ann_vol")).otherwise(0.0),
             "alpha": F.col("total_return") - F.col("bench_return"),
         }
-    ).drop("_sd", "_a", "_z")
+    ).drop("_sd")

@@ -532,86 +532,118 @@ v.SQL["v_labels"] = exits_sql("v_combo", mult="am", tp="tp", extra=", am, tp")
 v.SQL["v_labels_in"] = exits_sql("v_combo", mult="am", tp="tp", extra=", am, tp", marked="v_marked_in")
 
 
-def sweep_view(condition, labels="v_labels"):
-    same = "am, tp, sf, r, ticker"
+SETS = "am, tp, sf, r"
+
+
+def sweep_view(condition, labels="v_labels", days="true"):
+    same = f"{SETS}, ticker"
     return f"""
-WITH RECURSIVE k AS MATERIALIZED (SELECT x.am, x.tp, sf, r, x.ticker, x.entry_date, x.exit_date, x.exit_reason, exit_price / x.entry_price - 1 AS pnl
- FROM {labels} x JOIN v_entry e USING (trade_id), (SELECT unnest([6.5, 7.0, 7.5])::double AS sf), (SELECT unnest([30, 35]) AS r)
+WITH RECURSIVE g AS (SELECT am, tp, sf, r FROM (SELECT unnest([2.0, 2.5, 3.0])::double AS am), (SELECT unnest([0.10, 0.15, 0.20])::double AS tp),
+ (SELECT unnest([6.5, 7.0, 7.5])::double AS sf), (SELECT unnest([30, 35]) AS r)),
+k AS MATERIALIZED (SELECT g.am, g.tp, sf, r, x.ticker, x.entry_date, x.exit_date, x.exit_reason, x.entry_price, exit_price,
+ least(greatest(1, floor(2000 / (coalesce(e.atr, e.entry_price * 0.05) * g.am))), greatest(1, floor(15000 / e.entry_price))) AS shares
+ FROM {labels} x JOIN v_entry e USING (trade_id) JOIN g ON g.am = x.am AND g.tp = x.tp
  WHERE score >= sf AND rsi >= r AND headline_count >= 5 AND {condition}),
 n AS MATERIALIZED (SELECT a.*, (SELECT min(b.entry_date) FROM k b WHERE b.am = a.am AND b.tp = a.tp AND b.sf = a.sf AND b.r = a.r AND b.ticker = a.ticker
  AND b.entry_date >= a.exit_date + 5 AND b.entry_date > a.entry_date) AS nxt FROM k a),
 acc AS (SELECT n.* FROM n JOIN (SELECT {same}, min(entry_date) AS entry_date FROM k GROUP BY ALL) f USING ({same}, entry_date)
- UNION ALL SELECT n.* FROM acc JOIN n ON n.am = acc.am AND n.tp = acc.tp AND n.sf = acc.sf AND n.r = acc.r AND n.ticker = acc.ticker AND n.entry_date = acc.nxt)
+ UNION ALL SELECT n.* FROM acc JOIN n ON n.am = acc.am AND n.tp = acc.tp AND n.sf = acc.sf AND n.r = acc.r AND n.ticker = acc.ticker AND n.entry_date = acc.nxt),
+c AS (SELECT DISTINCT date FROM v_bars WHERE {days}), cap AS (SELECT count(DISTINCT ticker) * 100000.0::double AS cap FROM v_bars),
+held AS (SELECT {SETS}, c.date, sum(shares * coalesce(close, entry_price)) AS held FROM acc t JOIN c ON c.date >= t.entry_date AND c.date < t.exit_date
+ LEFT JOIN v_bars b ON b.ticker = t.ticker AND b.date = c.date GROUP BY ALL),
+cash AS (SELECT {SETS}, date, sum(x) AS x FROM (SELECT {SETS}, entry_date AS date, -entry_price * shares AS x FROM acc
+ UNION ALL SELECT {SETS}, exit_date, exit_price * shares FROM acc) GROUP BY ALL),
+eq AS (SELECT {SETS}, date, cap, cap + sum(coalesce(x, 0)) OVER (PARTITION BY {SETS} ORDER BY date) + coalesce(held, 0) AS equity
+ FROM g CROSS JOIN c CROSS JOIN cap LEFT JOIN held USING ({SETS}, date) LEFT JOIN cash USING ({SETS}, date)),
+ret AS (SELECT *, equity / lag(equity) OVER w - 1 AS ret, equity / max(equity) OVER (PARTITION BY {SETS} ORDER BY date ROWS UNBOUNDED PRECEDING) - 1 AS dd
+ FROM eq WINDOW w AS (PARTITION BY {SETS} ORDER BY date)),
+perf AS (SELECT {SETS}, arg_max(equity, date) / any_value(cap) AS growth, count(ret) AS n_days, coalesce(stddev_samp(ret) * sqrt(252), 0) AS ann_vol, min(dd) AS max_drawdown FROM ret GROUP BY ALL),
+bench AS (SELECT arg_max(close, date) / arg_min(close, date) - 1 AS bench_return FROM v_bench WHERE {days}),
+cnt AS (SELECT {SETS}, count(*) AS n_trades, count(*) FILTER (exit_reason = 'STOP_LOSS') AS n_stops, count(*) FILTER (exit_reason = 'TAKE_PROFIT') AS n_targets,
+ count(*) FILTER (exit_reason = 'OPEN') AS n_open, count(*) FILTER (exit_price > entry_price) AS n_winners FROM acc GROUP BY ALL)
 SELECT am AS atr_multiplier, tp AS take_profit_pct, 5::bigint AS trend_fail_min_hold, sf AS sentiment_floor, r::bigint AS rsi_entry_min, 5::bigint AS min_headlines,
- 5::bigint AS reentry_cooldown_days, avg(pnl) AS total_return, avg(pnl) / stddev_samp(pnl) AS sharpe, min(pnl) AS max_drawdown, count(*) AS n_trades, count(*) FILTER (exit_reason = 'STOP_LOSS') AS n_stops,
- count(*) FILTER (exit_reason = 'TAKE_PROFIT') AS n_targets, count(*) FILTER (exit_reason = 'OPEN') AS n_open,
- count(*) FILTER (pnl > 0)::double / count(*) AS win_rate, count(*) FILTER (exit_reason = 'STOP_LOSS')::double / count(*) AS stop_rate
-FROM acc GROUP BY am, tp, sf, r"""
+ 5::bigint AS reentry_cooldown_days, growth - 1 AS total_return, pow(growth, 252.0 / n_days) - 1 AS ann_return, ann_vol,
+ CASE WHEN ann_vol > 0 THEN (pow(growth, 252.0 / n_days) - 1 - 0.04) / ann_vol ELSE 0 END AS sharpe, max_drawdown, growth - 1 - bench_return AS alpha,
+ coalesce(n_trades, 0) AS n_trades, coalesce(n_stops, 0) AS n_stops, coalesce(n_targets, 0) AS n_targets, coalesce(n_open, 0) AS n_open,
+ coalesce(n_winners::double / n_trades, 0) AS win_rate, coalesce(n_stops::double / n_trades, 0) AS stop_rate
+FROM perf JOIN bench ON true LEFT JOIN cnt USING ({SETS})"""
 
 
 v.SQL["v_sweep"] = sweep_view("true")
-v.SQL["v_sweep_in"] = sweep_view("x.entry_date < DATE '1999-01-01'", "v_labels_in")
-v.SQL["v_sweep_out"] = sweep_view("x.entry_date >= DATE '1999-01-01'")
+v.SQL["v_sweep_in"] = sweep_view("x.entry_date < DATE '1999-01-01'", "v_labels_in", "date < DATE '1999-01-01'")
+v.SQL["v_sweep_out"] = sweep_view("x.entry_date >= DATE '1999-01-01'", days="date >= DATE '1999-01-01'")
 
 
-def sweep(spark, folder, condition="true", days="true"):
+def sweep(spark, folder, condition="true", seen="true", days="true"):
+    """Entries by ``condition``, exits from the ``seen`` bars, equity over ``days``; every ticker is an account of 100,000."""
+    bars = v.bars(spark, folder)
+    capital = bars.agg(F.count_distinct("ticker") * 100_000.0).scalar()
     return sweeps.run(
-        entries(spark, folder).filter(condition), v.bars(spark, folder).filter(days), SWEEP, sentiment(spark, folder)
+        entries(spark, folder).filter(condition), bars.filter(seen), SWEEP, v.bench(spark, folder).filter(days),
+        bars.filter(days), sentiment(spark, folder), capital,
     )
 
 
 def in_sample(spark, folder):
     """The first window sees its own bars only, so no later price decides an exit."""
-    return sweep(spark, folder, "entry_date < date'1999-01-01'", "date < date'1999-01-01'")
+    window = "date < date'1999-01-01'"
+    return sweep(spark, folder, "entry_date < date'1999-01-01'", window, window)
 
 
 def out_of_sample(spark, folder):
-    return sweep(spark, folder, "entry_date >= date'1999-01-01'")
+    return sweep(spark, folder, "entry_date >= date'1999-01-01'", days="date >= date'1999-01-01'")
+
+
+CURVE = {"total_return": 9, "ann_return": 9, "ann_vol": 9, "sharpe": 6, "max_drawdown": 9, "alpha": 9}
+
+
+def digits(df, prefix="", **places):
+    return df.withColumns({prefix + c: F.round(prefix + c, n) for c, n in places.items()})
 
 
 @query(
     "q_sweep",
-    """SELECT atr_multiplier, take_profit_pct, sentiment_floor, rsi_entry_min, reentry_cooldown_days, n_trades, n_stops, n_targets, n_open, round(total_return, 9) AS total_return, round(sharpe, 9) AS sharpe,
- round(max_drawdown, 9) AS max_drawdown, win_rate, stop_rate, CASE WHEN n_trades < 20 THEN '<20 trades' WHEN atr_multiplier <> 2.5 OR take_profit_pct <> 0.15 OR sentiment_floor <> 7.0 OR rsi_entry_min IN (30, 35) THEN 'extreme value' ELSE '' END AS note FROM v_sweep""",
+    f"""SELECT atr_multiplier, take_profit_pct, sentiment_floor, rsi_entry_min, reentry_cooldown_days, n_trades, n_stops, n_targets, n_open,
+ {', '.join(f'round({c}, {n}) AS {c}' for c, n in CURVE.items())},
+ win_rate, stop_rate, CASE WHEN n_trades < 20 THEN '<20 trades' WHEN atr_multiplier <> 2.5 OR take_profit_pct <> 0.15 OR sentiment_floor <> 7.0 OR rsi_entry_min IN (30, 35) THEN 'extreme value' ELSE '' END AS note FROM v_sweep""",
 )
 def q_sweep(spark, folder):
-    cols = ["total_return", "sharpe", "max_drawdown"]
-    return rounded(sweep(spark, folder), 9, *cols).select(
+    return digits(sweep(spark, folder), **CURVE).select(
         "atr_multiplier", "take_profit_pct", "sentiment_floor", "rsi_entry_min", "reentry_cooldown_days", "n_trades", "n_stops", "n_targets",
-        "n_open", *cols, "win_rate", "stop_rate", "note",
+        "n_open", *CURVE, "win_rate", "stop_rate", "note",
     )
 
 
 KEYS = ["atr_multiplier", "take_profit_pct", "sentiment_floor"]
-UNIQUE = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {m} DESC, rsi_entry_min) AS u FROM v_sweep) WHERE u = 1 ORDER BY {m} DESC LIMIT 5"""
+UNIQUE = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY round({m}, 7) DESC, rsi_entry_min) AS u FROM v_sweep) WHERE u = 1 ORDER BY round({m}, 7) DESC, {k} LIMIT 5"""
 
 
 @query(
     "q_top_unique",
     f"""WITH a AS ({UNIQUE.format(k=', '.join(KEYS), m='total_return')}), b AS ({UNIQUE.format(k=', '.join(KEYS), m='sharpe')})
-SELECT {', '.join(KEYS)}, round(total_return, 9) AS total_return, round(sharpe, 9) AS sharpe, 'return' AS source, row_number() OVER (ORDER BY total_return DESC) AS place FROM a
-UNION ALL SELECT {', '.join(KEYS)}, round(total_return, 9), round(sharpe, 9), 'sharpe', place FROM (SELECT *, row_number() OVER (ORDER BY sharpe DESC) AS place FROM b)
+SELECT {', '.join(KEYS)}, round(total_return, 9) AS total_return, round(sharpe, 6) AS sharpe, 'return' AS source, row_number() OVER (ORDER BY round(total_return, 7) DESC, {', '.join(KEYS)}) AS place FROM a
+UNION ALL SELECT {', '.join(KEYS)}, round(total_return, 9), round(sharpe, 6), 'sharpe', place FROM (SELECT *, row_number() OVER (ORDER BY round(sharpe, 7) DESC, {', '.join(KEYS)}) AS place FROM b)
 WHERE ({', '.join(KEYS)}) NOT IN (SELECT ({', '.join(KEYS)}) FROM a)""",
 )
 def q_top_unique(spark, folder):
     best = sweeps.top_unique(sweep(spark, folder), 5, KEYS)
-    return rounded(best, 9, "total_return", "sharpe").select(*KEYS, "total_return", "sharpe", "source", "place")
+    return digits(best, total_return=9, sharpe=6).select(*KEYS, "total_return", "sharpe", "source", "place")
 
 
 @query(
     "q_walk_forward",
-    f"""SELECT {', '.join('i.' + n for n in NAMES)}, round(i.total_return, 9) AS is_total_return, round(o.total_return, 9) AS oos_total_return, round(o.sharpe, 9) AS oos_sharpe,
+    f"""SELECT {', '.join('i.' + n for n in NAMES)}, {', '.join(f'round({t}.{c}, {n}) AS {p}_{c}' for t, p in (('i', 'is'), ('o', 'oos')) for c, n in CURVE.items())},
  o.n_trades AS oos_n_trades, CASE WHEN o.total_return IS NULL OR o.sharpe IS NULL THEN 'ERROR' WHEN o.total_return > 0.05 AND o.sharpe > 0.5 THEN 'STRONG_PASS'
  WHEN o.total_return > 0 AND o.sharpe > 0 THEN 'PASS' WHEN o.total_return > 0 THEN 'MARGINAL' ELSE 'FAIL' END AS verdict
 FROM v_sweep_in i LEFT JOIN v_sweep_out o USING ({', '.join(NAMES)})""",
 )
 def q_walk_forward(spark, folder):
     out = sweeps.walk_forward(in_sample(spark, folder), out_of_sample(spark, folder), NAMES)
-    cols = ["is_total_return", "oos_total_return", "oos_sharpe"]
-    return rounded(out, 9, *cols).select(*NAMES, *cols, "oos_n_trades", "verdict")
+    out = digits(digits(out, "is_", **CURVE), "oos_", **CURVE)
+    return out.select(*NAMES, *[f"{p}_{c}" for p in ("is", "oos") for c in CURVE], "oos_n_trades", "verdict")
 
 
-BEST = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {m} DESC, rsi_entry_min) AS u FROM v_sweep_in) WHERE u = 1 ORDER BY {m} DESC LIMIT 5"
+BEST = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY round({m}, 7) DESC, rsi_entry_min) AS u FROM v_sweep_in) WHERE u = 1 ORDER BY round({m}, 7) DESC, {k} LIMIT 5"
 
 
 @query(
