@@ -64,11 +64,11 @@ def with_grid(df, params) -> DataFrame:
 
 
 COUNTS = {
-    "n_trades": F.lit(True),
-    "n_stops": F.col("exit_reason") == "STOP_LOSS",
-    "n_targets": F.col("exit_reason") == "TAKE_PROFIT",
-    "n_open": F.col("exit_reason") == "OPEN",
-    "n_winners": F.col("exit_price") > F.col("entry_price"),
+    "n_trades": "true",
+    "n_stops": "exit_reason = 'STOP_LOSS'",
+    "n_targets": "exit_reason = 'TAKE_PROFIT'",
+    "n_open": "exit_reason = 'OPEN'",
+    "n_winners": "exit_price > entry_price",
 }
 
 

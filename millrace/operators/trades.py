@@ -221,14 +221,14 @@ def equity(trades, bars, calendar, capital=100_000.0, by=(), groups=None, counts
     days it is held, so neither a trade-by-day nor a ticker-by-day table is
     built, and ``trades`` are read once.  A day without a bar values the shares
     at cost.  With ``by``, ``groups`` holds all combinations, those without a
-    trade included.  ``counts`` maps names to conditions; the trades that meet
+    trade included.  ``counts`` maps names to SQL conditions; the trades that meet
     them are counted on their entry day.
     """
     by, counts = list(by), counts or {}
     if by and groups is None:
         raise ValueError("groups must hold every combination of by")
     entry, out = F.col("entry_price") * F.col("shares"), F.col("exit_price") * F.col("shares")
-    opened = [F.when(c, 1).otherwise(0).alias(n) for n, c in counts.items()]
+    opened = [F.when(F.expr(c), 1).otherwise(0).alias(n) for n, c in counts.items()]
     closed = [F.lit(0).alias(n) for n in counts]
     flows = (
         trades.select(

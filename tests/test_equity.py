@@ -51,7 +51,7 @@ def loop(closes, rows, capital):
 def test_equity_per_set(spark, made):
     closes, rows, bars, df = made
     groups = spark.createDataFrame([("p",), ("q",), ("none",)], "s string")
-    counts = {"n": F.lit(True), "n_stops": F.col("exit_reason") == "STOP_LOSS"}
+    counts = {"n": "true", "n_stops": "exit_reason = 'STOP_LOSS'"}
     got = trades.equity(df, bars, bars.select("date"), 1e4, ["s"], groups, counts).toPandas()
     for name in ("p", "q", "none"):
         mine = [r for r in rows if r[0] == name]
@@ -68,7 +68,7 @@ def test_performance_per_set(spark, made):
     closes, rows, bars, df = made
     groups = spark.createDataFrame([("p",), ("q",), ("none",)], "s string")
     bench = bars.groupBy("date").agg(F.avg("close").alias("close"))
-    curves = trades.equity(df, bars, bars.select("date"), 1e4, ["s"], groups, {"n": F.lit(True)})
+    curves = trades.equity(df, bars, bars.select("date"), 1e4, ["s"], groups, {"n": "true"})
     got = {r["s"]: r for r in trades.performance(curves, bench, 1e4, by=["s"], counts=["n"]).collect()}
     for name in ("p", "q"):
         e = np.array(list(loop(closes, [r for r in rows if r[0] == name], 1e4).values()))
