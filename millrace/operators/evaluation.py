@@ -23,8 +23,7 @@ def curve(df, label="label", score="score") -> DataFrame:
     counts = df.groupBy(F.col(score).alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    scores = df.select(F.col(score).alias("threshold"))
-    block = ordered.number_block(scores, "threshold", descending=True)
+    block = ordered.number_block("threshold", descending=True)
     summed = ordered.running(
         counts, [], [F.desc("threshold")], {"tp": F.col("pos"), "fp": F.col("neg")}, block, totals=True
     )

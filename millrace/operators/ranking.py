@@ -54,21 +54,19 @@ def priority(perf, nan_policy="omit") -> DataFrame:
     return scored.withColumn("priority_score", F.try_divide(total, known.cast("double")))
 
 
-def rank_first(df, by, col, tiebreak, name="rank", col_source=None, tie_source=None) -> DataFrame:
+def rank_first(df, by, col, tiebreak, name="rank") -> DataFrame:
     """Rank per ``by`` by descending ``col``, ties in ``tiebreak`` order; null scores get no rank.
 
     Equal scores are counted first, which gives every score its starting rank;
     rows of one score are then numbered in blocks of the first tiebreak column.
     Neither step holds a group, or the rows of one score, in a single task.
-    ``col_source`` and ``tie_source`` are cheaper frames to take the cuts from.
     """
     scored = df.filter(F.col(col).isNotNull())
     counts = scored.groupBy(by, col).agg(F.count(F.lit(1)).alias("_n"))
     starts = ordered.running(
-        counts, [by], [F.desc(col)], {"_upto": F.col("_n")}, ordered.number_block(counts if col_source is None else col_source, col, descending=True)
+        counts, [by], [F.desc(col)], {"_upto": F.col("_n")}, ordered.number_block(col, descending=True)
     ).select(F.col(by).alias("_by"), F.col(col).alias("_score"), (F.col("_upto") - F.col("_n")).alias("_start"))
-    tie_block = ordered.number_block(scored if tie_source is None else tie_source, tiebreak[0])
-    inside = ordered.number_rows(scored, [by, col], tiebreak, tie_block, "_no")
+    inside = ordered.number_rows(scored, [by, col], tiebreak, ordered.number_block(tiebreak[0]), "_no")
     ranked = (
         inside.join(starts, F.col(by).eqNullSafe(F.col("_by")) & (F.col(col) == F.col("_score")))
         .withColumn(name, F.col("_start") + F.col("_no"))
@@ -87,6 +85,21 @@ def fill_worst(df, by, rank="rank") -> DataFrame:
     ).drop("_max")
 
 
+def rank_within(df, by, col, tiebreak, k, name="rank") -> DataFrame:
+    """The rows that :func:`rank_first` and then :func:`fill_worst` would rank within ``k``.
+
+    Spark's group limit leaves at most ``k`` scored rows per group and partition
+    before the shuffle; rows without a score come in where a group has fewer
+    than ``k`` scored ones (and one at least).
+    """
+    known = df.filter(F.col(by).isNotNull())
+    order = Window.partitionBy(by).orderBy(F.desc(col), *tiebreak)
+    best = known.filter(F.col(col).isNotNull()).withColumn(name, F.row_number().over(order).cast("bigint")).filter(F.col(name) <= k)
+    short = best.groupBy(F.col(by).alias("_by")).agg((F.max(name) + 1).alias(name)).filter(F.col(name) <= k)
+    rest = known.filter(F.col(col).isNull()).join(short, F.col(by) == F.col("_by")).drop("_by")
+    return best.unionByName(rest)
+
+
 def topk_list(df, by, item, rank, k=3, name="topk") -> DataFrame:
     """Ordered list of the distinct items ranked within ``k`` per group."""
     best = df.filter(F.col(rank) <= k).select(by, item, rank).distinct()

@@ -29,10 +29,9 @@ def daily_cap(trades, per_day=2, ts="ts", tiebreak="event_id") -> DataFrame:
     )
 
 
-def sector_cap(candidates, portfolio_value, cap=0.30, rank="rank", rank_source=None, tiebreak="ticker") -> DataFrame:
+def sector_cap(candidates, portfolio_value, cap=0.30, rank="rank", tiebreak="ticker") -> DataFrame:
     """Candidates whose sector, summed in rank order, stays within the cap; ties go by ``tiebreak``."""
-    block = ordered.number_block(candidates if rank_source is None else rank_source, rank)
-    summed = ordered.running(candidates, ["sector"], [rank, tiebreak], {"sector_value": F.col("value")}, block)
+    summed = ordered.running(candidates, ["sector"], [rank, tiebreak], {"sector_value": F.col("value")}, ordered.number_block(rank))
     return summed.filter(F.col("sector_value") / F.lit(float(portfolio_value)) <= cap)
 
 

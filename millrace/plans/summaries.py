@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from ..session import stored
 from ..operators import aggregates as agg
 from ..operators import cohort, dashboard, experiment, ordered, ranking, stats
-from ..session import stored
 from . import views as v
 from .customers import summary
 from .registry import query
@@ -204,18 +204,19 @@ def scored(spark, folder):
     return out.withColumn("priority_score", F.round("priority_score", 9))
 
 
-def ranked(spark, folder):
-    """Order rows with the rank of their seller; one seller in ten is left without a score."""
+def to_rank(spark, folder):
+    """Order rows with the score of their seller; one seller in ten is left without."""
     scores = scored(spark, folder).select(
         "seller_id", F.when(F.col("seller_id") % 10 != 0, F.col("priority_score")).alias("priority_score")
     )
-    # The ranking reads its input five times; the joined items are written once instead.
     columns = [*v.ITEM_TIE, "product_id", "seller_id", "customer_unique_id", "review_score", "order_deliver_days"]
-    items = stored(tenured(spark, folder).select(*columns).join(scores, "seller_id", "left"), "items")
-    orders = v.table(spark, folder, "orders").select(F.col("o_orderkey").alias("order_id"))
-    return ranking.rank_first(
-        items, "product_id", "priority_score", v.ITEM_TIE, col_source=scores, tie_source=orders
-    )
+    items = tenured(spark, folder).select(*columns)
+    return items.join(scores, "seller_id", "left")
+
+
+def ranked(spark, folder):
+    # A full ranking of groups of any size reads its input five times; the joined items are written once instead.
+    return ranking.rank_first(stored(to_rank(spark, folder), "items"), "product_id", "priority_score", v.ITEM_TIE)
 
 
 def filled(spark, folder):
@@ -258,7 +259,8 @@ v.SQL["v_topk"] = TOPK
 
 @query("q_topk_list", "SELECT product_id, array_to_string(topk, ',') AS topk FROM v_topk")
 def q_topk_list(spark, folder):
-    lists = ranking.topk_list(filled(spark, folder), "product_id", "seller_id", "rank", 3)
+    best = ranking.rank_within(to_rank(spark, folder), "product_id", "priority_score", v.ITEM_TIE, 3)
+    lists = ranking.topk_list(best, "product_id", "seller_id", "rank", 3)
     return lists.withColumn("topk", F.array_join(F.transform("topk", lambda x: x.cast("string")), ","))
 
 

@@ -486,8 +486,7 @@ def q_sector_cap(spark, folder):
     ranked = positions(spark, folder).select(
         "ticker", "sector", ((F.col("ticker") * 37) % 100003).alias("rank"), F.col("market_value").alias("value")
     )
-    tickers = v.table(spark, folder, "supplier").select(((F.col("s_suppkey") * 37) % 100003).alias("rank"))
-    return rounded(risk.sector_cap(ranked, 100_000, rank_source=tickers), 4, "sector_value").drop("value")
+    return rounded(risk.sector_cap(ranked, 100_000), 4, "sector_value").drop("value")
 
 
 @query(

@@ -367,6 +367,37 @@ def test_near_duplicates_of_a_large_group(spark):
     assert sorted(r["pos"] for r in sentiment.dedup_jaccard(news).collect()) == kept
 
 
+def test_twenty_thousand_near_copies_on_one_day(spark):
+    rng = random.Random(9)
+    story = "regulator opens inquiry into battery supplier after factory fire in southern port city".split()
+    said = ["regulator opens new terminal in the southern port city"]
+    for k in range(20_000):
+        words = list(story)
+        words[rng.randrange(len(words))] = f"{rng.randrange(10**3)}" if k else words[0]
+        said.append(" ".join(words))
+    news = spark.createDataFrame([("t", 1, k, s) for k, s in enumerate(said)], "ticker string, day int, pos long, headline string").repartition(8)
+    grams = [{s[i : i + 3] for i in range(len(s) - 2)} for s in said]
+    kept = []
+    for k, g in enumerate(grams):
+        if not any(len(g & grams[j]) / len(g | grams[j]) >= sentiment.SIMILAR for j in kept):
+            kept.append(k)
+    assert len(kept) < 200
+    assert sorted(r["pos"] for r in sentiment.dedup_jaccard(news).collect()) == kept
+
+
+def test_folds_and_rounds_agree(spark):
+    rng = random.Random(4)
+    stems = ["bank cuts outlook for the second half", "bank raises outlook for the second half", "airline orders forty new jets", "", "ab"]
+    rows = []
+    for g in (None, "a", "b"):
+        for pos in range(60):
+            words = rng.choice(stems)
+            rows.append((g, 1, pos, words + (f" {rng.randrange(30)}" if words and rng.random() < 0.6 else "")))
+    news = spark.createDataFrame(rows, "ticker string, day int, pos int, headline string")
+    one, two = ({(r["ticker"], r["pos"]) for r in sentiment.dedup_jaccard(news, fold=n).collect()} for n in (100, 10))
+    assert one == two
+
+
 def test_class_threshold_is_inclusive(spark):
     df = spark.createDataFrame([(1, "Owl", 0.15), (2, "Owl", 0.14), (3, "Fox", 0.9)], "det_id int, label string, score double")
     got = dict(rows(detections.class_counts(df), "label", "n"))

@@ -19,7 +19,7 @@ def hot(spark):
 
 def test_running_total(hot):
     pdf, df = hot
-    out = ordered.running(df, ["k"], ["x", "id"], {"s": F.lit(1)}, ordered.number_block(df, "x"), totals=True).toPandas()
+    out = ordered.running(df, ["k"], ["x", "id"], {"s": F.lit(1)}, ordered.number_block("x"), totals=True).toPandas()
     want = pdf.sort_values(["x", "id"]).assign(s=lambda d: d.groupby("k").cumcount() + 1).set_index("id")["s"]
     got = out.set_index("id")
     assert (got["s"].sort_index() == want.sort_index()).all()
@@ -52,6 +52,57 @@ def test_rank_first(spark):
     assert got.fillna(-1).tolist() == want.fillna(-1).tolist()
 
 
+def test_rank_within_is_the_top_of_the_full_ranking(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, None if rng.random() < 0.05 else int(rng.integers(0, 60)), None if rng.random() < 0.5 else float(rng.integers(0, 3))) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, p int, s double")
+    full = ranking.fill_worst(ranking.rank_first(df, "p", "s", ["id"]), "p").filter("rank <= 3")
+    assert sorted(map(tuple, ranking.rank_within(df, "p", "s", ["id"], 3).collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_intervals_never_fall(spark):
+    rng = np.random.default_rng(11)
+    x = np.concatenate(
+        [
+            rng.normal(0, 1, 3000), rng.normal(1e6, 1e-3, 3000), 2.0 ** np.arange(-1074, 1024), np.nextafter(2.0 ** np.arange(-1022, 1023), 0),
+            -(2.0 ** np.arange(-60, 60)), np.arange(-500, 500), 10.0 ** np.arange(-300, 300), [0.0, -0.0, np.inf, -np.inf],
+        ]
+    )
+    df = spark.createDataFrame(pd.DataFrame({"x": x}), "x double").union(spark.range(2).selectExpr("double('NaN')"))
+    got = df.select("x", *[c.alias(n) for c, n in zip(ordered._interval(F.col("x")), ("c", "f"))]).orderBy("x").collect()
+    keys = [(r["c"], r["f"]) for r in got]
+    assert keys == sorted(keys) and None not in {k for pair in keys for k in pair}
+
+
+@pytest.mark.parametrize("centre,spread", [(0, 1), (1.7e9, 0.01), (-1e6, 1e-4)])
+def test_quantiles_of_narrow_columns(spark, centre, spread):
+    rng = np.random.default_rng(2)
+    x = centre + spread * rng.standard_normal(5000)
+    pdf = pd.DataFrame({"x": x, "y": np.round(x, 1), "g": rng.integers(0, 3, 5000)})
+    df = spark.createDataFrame(pdf).repartition(5)
+    probs = [0.0, 0.013, 0.25, 0.5, 0.9, 1.0]
+    got = {r["column"]: r["q"] for r in ordered.quantiles(df, ["x", "y"], probs).collect()}
+    for c in ("x", "y"):
+        assert np.allclose(got[c], np.quantile(pdf[c], probs), rtol=1e-15)
+    for r in ordered.quantiles(df, ["x", "y"], probs, ["g"]).collect():
+        assert np.allclose(r["q"], np.quantile(pdf[pdf["g"] == r["g"]][r["column"]], probs), rtol=1e-15)
+
+
+def test_building_starts_no_job(spark, hot):
+    _, df = hot
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "building")
+    try:
+        ordered.quantiles(df, ["x", "id"], [0.5])
+        ordered.quantiles(df, ["x"], [0.5], ["k"])
+        ranking.rank_first(df, "k", "x", ["id"])
+        ranking.rank_within(df, "k", "x", ["id"], 3)
+        ordered.number_rows(df, ["k"], ["x", "id"], ordered.number_block("x"))
+        assert list(tracker.getJobIdsForGroup("build")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_split_sizes(hot):
     _, df = hot
     rows = sampling.split(df, "id", 0.5, by=["k"]).groupBy("k").agg(
