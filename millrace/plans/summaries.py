@@ -385,12 +385,21 @@ WELCH = """WITH a AS (SELECT avg(x) FILTER (g = 'test') AS ma, avg(x) FILTER (g
 
 @query(
     "q_welch",
-    f"""{WELCH} SELECT 'review_score' AS measure, round((ma - mb) / sqrt(va / na + vb / nb), 6) AS t,
- round(pow(va / na + vb / nb, 2) / (pow(va / na, 2) / (na - 1) + pow(vb / nb, 2) / (nb - 1)), 4) AS df FROM a""",
+    f"""WITH RECURSIVE {WELCH.removeprefix('WITH ')},
+s AS (SELECT (ma - mb) / sqrt(va / na + vb / nb) AS t, pow(va / na + vb / nb, 2) / (pow(va / na, 2) / (na - 1) + pow(vb / nb, 2) / (nb - 1)) AS df FROM a),
+v AS (SELECT *, df / (df + t * t) < (df / 2 + 1) / (df / 2 + 2.5) AS near FROM s),
+e AS (SELECT t, df, near, CASE WHEN near THEN df / 2 ELSE 0.5::double END AS a, CASE WHEN near THEN 0.5::double ELSE df / 2 END AS b,
+ CASE WHEN near THEN df / (df + t * t) ELSE t * t / (df + t * t) END AS x, CASE WHEN near THEN t * t / (df + t * t) ELSE df / (df + t * t) END AS y FROM v),
+f AS (SELECT 0 AS m, a, b, x, 1.0::double AS c, 1 / (1 - (a + b) * x / (a + 1)) AS d, 1 / (1 - (a + b) * x / (a + 1)) AS h FROM e
+ UNION ALL SELECT m, a, b, x, 1 + o / c, 1 / (1 + o * d), h * (1 + o / c) / (1 + o * d) FROM (
+  SELECT m, a, b, x, -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 1 + 2 * m)) AS o, 1 + w / c AS c, 1 / (1 + w * d) AS d, h * (1 + w / c) / (1 + w * d) AS h FROM (
+   SELECT m + 1 AS m, a, b, x, c, d, h, (m + 1) * (b - (m + 1)) * x / ((a - 1 + 2 * (m + 1)) * (a + 2 * (m + 1))) AS w FROM f WHERE m < 1000))),
+p AS (SELECT t, df, near, exp(lgamma(e.a + e.b) - lgamma(e.a) - lgamma(e.b) + e.a * ln(e.x) + e.b * ln(y)) * h / e.a AS i FROM e, f WHERE m = 1000)
+SELECT 'review_score' AS measure, round(t, 6) AS t, round(df, 4) AS df, round(CASE WHEN near THEN i ELSE 1 - i END, 6) AS p FROM p""",
 )
 def q_welch(spark, folder):
-    out = stats.welch(grouped(spark, folder), "review_score", with_p=False)
-    return out.withColumns({"t": F.round("t", 6), "df": F.round("df", 4)})
+    out = stats.welch(grouped(spark, folder), "review_score")
+    return out.withColumns({"t": F.round("t", 6), "df": F.round("df", 4), "p": F.round("p", 6)})
 
 
 @query(

@@ -128,6 +128,14 @@ def test_p_value():
         assert stats.two_sided_p(t, df) == pytest.approx(p, abs=2e-5)
 
 
+def test_two_sided_as_a_column(spark):
+    rows = [(t, d) for t in (0.0, 1e-6, 0.3, -1.0, 1.96, 5.0, -40.0, 1e200) for d in (1.0, 2.5, 30.0, 1e3, 1e6)]
+    df = spark.createDataFrame([*rows, (None, 5.0), (1.0, None)], "t double, d double")
+    for r in df.select("t", "d", stats.two_sided(F.col("t"), F.col("d")).alias("p")).collect():
+        want = stats.two_sided_p(r["t"], r["d"])
+        assert r["p"] is None if want is None else r["p"] == pytest.approx(want, abs=1e-6)
+
+
 def test_welch(spark):
     df = spark.createDataFrame([("test", v) for v in (1.0, 2.0, 3.0)] + [("control", v) for v in (2.0, 4.0, 9.0)], "group string, v double")
     r = stats.welch(df, "v").first()
