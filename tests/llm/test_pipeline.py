@@ -7,7 +7,7 @@ import corpus_pipeline
 from millrace.llm import catalog
 
 from test_duplicates import brute as classes
-from test_models import toxic_rows
+from test_llm_models import toxic_rows
 
 
 def test_stages_take_effect(spark, tmp_path):
