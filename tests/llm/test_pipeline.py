@@ -38,7 +38,7 @@ def test_stages_take_effect(spark, tmp_path):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 14))
     assert set(catalog.ORACLES) <= set(catalog.QUERIES)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontaminate", "secrets", "pieces"]
 
