@@ -52,6 +52,13 @@ _FAR = re.compile(r"[^\w\x00-\x7f]")
 _KEPT, _STRETCH, _SIGN, _END, _NOTHING, _JOIN = (math.log(p) for p in (0.95, 0.3, 0.3, 0.2, 0.02, 0.5))
 _classes: list[np.ndarray] = []
 _CACHE = 100_000
+_START = (_EDGE * _SIZE + _EDGE) * _SIZE + _EDGE
+#: Characters decoded together.
+_TOGETHER = 1 << 16
+#: A longer span is decoded alone.
+_ALONE = 4096
+#: Steps of such a span after which what all its ways share is written down.
+_SETTLE = 4096
 
 
 def classes():
@@ -102,108 +109,213 @@ class Model:
             n = counts.sum(axis=tuple(range(k))) if k else counts
             level = (n + strength * level) / (n.sum(axis=-1, keepdims=True) + strength)
         self.log = np.log(level)
-        self._lists = None
-
-    def __getstate__(self):
-        return {"log": self.log, "_lists": None}
-
-    def row(self, state):
-        if self._lists is None:
-            self._lists = {}
-        found = self._lists.get(state)
-        if found is None:
-            found = self._lists[state] = self.log[state].tolist()
-        return found
 
     def decode(self, span, whole=False):
-        """The likeliest reading of ``span``: words of letters, lower case; of ``whole`` words blanks rarely join."""
-        blank, joined = (_KEPT, _NOTHING) if whole else (_END, _JOIN)
-        table = classes()
-        paths = {(_EDGE, _EDGE, _EDGE): 0.0}
-        back: list[dict] = []
-        before = ""
-        for c in span.lower():
-            options: list[tuple[str, float]] = []
-            if c.isalpha():
-                options.append((c, _KEPT))
-                if c == before:
-                    options.append(("", _STRETCH))
-            else:
-                options += [(x, _SIGN - math.log(len(SIGNS[c]))) for x in SIGNS.get(c, "")]
-                sign = c in SIGNS and c not in _SEPARATORS
-                options.append((" ", _END if sign else blank))
-                options.append(("", _NOTHING if sign else joined))
-            if c in SIGNS and c == before:
-                options.append(("", _STRETCH))
-            new: dict = {}
-            steps: dict = {}
+        """The likeliest reading of one span, as in :meth:`readings`."""
+        return self.readings([span], whole)[0]
+
+    def readings(self, spans, whole=False):
+        """The likeliest reading of each span: words of letters, lower case; of ``whole`` words blanks rarely join.
+
+        Spans advance together, about ``_TOGETHER`` characters at a time; one beyond ``_ALONE`` goes alone.
+        """
+        low = [s.lower() for s in spans]
+        order = sorted(range(len(low)), key=lambda i: -len(low[i]))
+        out = [""] * len(low)
+        at = 0
+        while at < len(order) and low[order[at]]:
+            end = min(at + max(_TOGETHER // len(low[order[at]]), 1), len(order))
+            while not low[order[end - 1]]:
+                end -= 1
+            if len(low[order[at]]) > _ALONE:
+                out[order[at]] = self._alone(low[order[at]], whole)
+                at += 1
+                continue
+            for i, said in zip(order[at:end], self._together([low[i] for i in order[at:end]], whole)):
+                out[i] = said
+            at = end
+        return out
+
+    def _together(self, spans, whole):
+        """Viterbi over spans of falling length: per position the best way into each state, and where it came from."""
+        sizes = np.array([len(s) for s in spans])
+        offsets = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        codes = np.frombuffer("".join(spans).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        again = np.zeros(len(codes), bool)
+        again[1:] = codes[1:] == codes[:-1]
+        again[offsets] = False
+        kinds, kind = np.unique(codes * 2 + again, return_inverse=True)
+        many, said, cost = _options(kinds.tolist(), whole)
+        symbol = np.where(said > 0, classes()[said], -1)
+        log = self.log.reshape(-1)
+        span, state, score = np.arange(len(spans)), np.full(len(spans), _START), np.zeros(len(spans))
+        last = np.zeros(len(spans), np.int64)
+        back: list[tuple[np.ndarray, np.ndarray]] = []
+        for t in range(int(sizes[0])):
+            live = int(np.searchsorted(-sizes, -t, "left"))
+            if live < len(spans):
+                end = int(np.searchsorted(span, live))
+                span, state, score = span[:end], state[:end], score[:end]
+            k = kind[offsets[span] + t]
+            n = many[k]
+            origin = np.repeat(np.arange(len(k)), n)
+            option = np.arange(len(origin)) - np.repeat(np.cumsum(n) - n, n)
+            k, old = k[origin], state[origin]
+            new = symbol[k, option]
+            # Nothing said, or an end after an end, leaves the state.
+            stays = (new < 0) | ((new == _EDGE) & (old % _SIZE == _EDGE))
+            new = np.where(stays, 0, new)
+            total = score[origin] + cost[k, option] + np.where(stays, 0.0, log[old * _SIZE + new])
+            to = np.where(stays, old, old % _SIZE**2 * _SIZE + new)
+            key = span[origin] * _SIZE**3 + to
+            best = np.lexsort((-total, key))
+            first = np.ones(len(best), bool)
+            first[1:] = key[best[1:]] != key[best[:-1]]
+            best = best[first]
+            span, state, score = span[origin[best]], to[best], total[best]
+            back.append((origin[best].astype(np.int32), said[k[best], option[best]].astype(np.uint32)))
+            done = int(np.searchsorted(-sizes, -(t + 1), "left"))
+            if done < live:
+                low = int(np.searchsorted(span, done))
+                ended = score[low:] + np.where(state[low:] % _SIZE == _EDGE, 0.0, log[state[low:] * _SIZE + _EDGE])
+                rank = np.lexsort((state[low:], ended, span[low:]))
+                top = np.append(span[low:][rank][1:] != span[low:][rank][:-1], True)
+                last[done:live] = low + rank[top]
+        out = np.zeros((len(spans), len(back)), np.uint32)
+        for t in range(len(back) - 1, -1, -1):
+            live = int(np.searchsorted(-sizes, -t, "left"))
+            out[:live, t] = back[t][1][last[:live]]
+            last[:live] = back[t][0][last[:live]]
+        return [row[row > 0].tobytes().decode("utf-32-le", "surrogatepass") for row in out]
+
+    def _alone(self, span, whole):
+        """The same for one long span, most of which has few states: what all ways share is written down on the way."""
+        log, table, chosen = self.log.reshape(-1), classes(), {}
+        rows: dict[int, list[float]] = {}
+        paths, back, read, before = {_START: 0.0}, [], [], ""
+        for t, c in enumerate(span):
+            kind = ord(c) * 2 + (c == before)
+            options = chosen.get(kind)
+            if options is None:
+                many, said, cost = _options([kind], whole)
+                options = chosen[kind] = [(x, int(table[x]) if x else -1, y) for x, y in zip(said[0].tolist(), cost[0].tolist())]
+            new: dict[int, float] = {}
+            steps: dict[int, tuple[int, int]] = {}
             for state, score in paths.items():
-                row = self.row(state)
-                for said, cost in options:
-                    if not said:
+                row = rows.get(state)
+                if row is None:
+                    row = rows[state] = log[state * _SIZE : (state + 1) * _SIZE].tolist()
+                for x, symbol, cost in options:
+                    if symbol < 0 or symbol == _EDGE == state % _SIZE:
                         to, total = state, score + cost
                     else:
-                        s = int(table[ord(said)])
-                        # Ends in a row are one.
-                        same = s == _EDGE and state[2] == _EDGE
-                        to = state if same else (state[1], state[2], s)
-                        total = score + cost + (0.0 if same else row[s])
+                        to, total = state % _SIZE**2 * _SIZE + symbol, score + cost + row[symbol]
                     if total > new.get(to, -math.inf):
                         new[to] = total
-                        steps[to] = (state, said)
+                        steps[to] = (state, x)
             back.append(steps)
             paths, before = new, c
-        final = max(paths, key=lambda s: (paths[s] + self.row(s)[_EDGE] * (s[2] != _EDGE), s))
-        out = []
-        for steps in reversed(back):
-            final, said = steps[final]
-            out.append(said)
-        return "".join(reversed(out))
+            if t % _SETTLE == _SETTLE - 1:
+                read.append(_settle(back, paths))
+        best = max(paths, key=lambda s: (paths[s] + (0.0 if s % _SIZE == _EDGE else log[s * _SIZE + _EDGE]), s))
+        return "".join(read) + _trace(back, best)
+
+
+def _trace(back, state):
+    """What the way into ``state`` says."""
+    out = []
+    for steps in reversed(back):
+        state, said = steps[state]
+        if said:
+            out.append(chr(said))
+    return "".join(reversed(out))
+
+
+def _settle(back, states):
+    """Take the steps off ``back`` that the ways into all ``states`` share; what they say."""
+    at, t = set(states), len(back)
+    while t and len(at) > 1:
+        t -= 1
+        at = {back[t][s][0] for s in at}
+    read = _trace(back[:t], at.pop()) if t else ""
+    del back[:t]
+    return read
+
+
+def _options(kinds, whole):
+    """What a character may stand for: number of options, and per option the letter said (32: a word's end, 0: nothing) and its cost.
+
+    ``kinds`` are code points times two, plus one after the same character.
+    """
+    blank, joined = (_KEPT, _NOTHING) if whole else (_END, _JOIN)
+    rows = []
+    for kind in kinds:
+        c, again = chr(kind >> 1), kind & 1
+        if c.isalpha():
+            options = [(ord(c), _KEPT)]
+        else:
+            options = [(ord(x), _SIGN - math.log(len(SIGNS[c]))) for x in SIGNS.get(c, "")]
+            sign = c in SIGNS and c not in _SEPARATORS
+            options += [(32, _END if sign else blank), (0, _NOTHING if sign else joined)]
+        if again and (c.isalpha() or c in SIGNS):
+            options.append((0, _STRETCH))
+        rows.append(options)
+    many = np.array([len(r) for r in rows])
+    said, cost = np.zeros((len(rows), many.max()), np.int64), np.zeros((len(rows), many.max()))
+    for i, options in enumerate(rows):
+        said[i, : len(options)], cost[i, : len(options)] = zip(*options)
+    return many, said, cost
 
 
 class Restorer:
-    """Readings of texts; those of short tokens are kept for the next texts."""
+    """Readings of texts; those of short spans are kept for the next texts."""
 
     def __init__(self, model):
-        self.model, self.kept = model, {}
-
-    def _keep(self, span, value):
-        if len(span) <= 64:
-            if len(self.kept) > _CACHE:
-                self.kept.clear()
-            self.kept[span] = value
-        return value
-
-    def read(self, span, whole=False):
-        key = f"{span} " if whole else span
-        found = self.kept.get(key)
-        return self._keep(key, self.model.decode(span, whole)) if found is None else found
-
-    def token(self, token):
-        """The reading of a suspicious token; empty for another one."""
-        found = self.kept.get(token)
-        if found is None:
-            found = self._keep(token, self.model.decode(token) if _MIXED.search(token) else "")
-        return found
-
-    def __call__(self, text):
-        """The readings of all suspicious tokens and spaced words, by spaces, and the text with the tokens' readings in place."""
-        low = text.lower()
-        out = [self.read(_BLANKS.sub(" ", m[0])) for m in _SPACED.finditer(low)]
-        tokens = low.split()
-        told = {t: r for t in dict.fromkeys(tokens) if (r := self.token(t))}
-        out += told.values()
-        return " ".join(out), " ".join([told.get(t, t) for t in tokens]) if told else ""
+        self.model, self.kept = model, ({}, {})
+
+    def read(self, spans, whole=False, mixed=False):
+        """The reading of each span; where only ``mixed`` ones are read, the others have none."""
+        kept = self.kept[whole]
+        if len(kept) > _CACHE:
+            kept.clear()
+        new = [s for s in dict.fromkeys(spans) if s not in kept]
+        kept.update((s, "") for s in new)
+        odd = [s for s in new if _MIXED.search(s)] if mixed else new
+        kept.update(zip(odd, self.model.readings(odd, whole)))
+        out = [kept[s] for s in spans]
+        for s in new:
+            if len(s) > 64:
+                del kept[s]
+        return out
+
+    def __call__(self, texts):
+        """For each text the readings of all suspicious tokens and spaced words, by spaces, and the text with the tokens' readings in place."""
+        low = [t.lower() for t in texts]
+        spaced = [[_BLANKS.sub(" ", m[0]) for m in _SPACED.finditer(t)] for t in low]
+        tokens = [t.split() for t in low]
+        each = [list(dict.fromkeys(t)) for t in tokens]
+        runs = iter(self.read([s for row in spaced for s in row]))
+        singles = iter(self.read([t for row in each for t in row], mixed=True))
+        read, placed = [], []
+        for i in range(len(texts)):
+            out = [next(runs) for _ in spaced[i]]
+            told = {t: r for t, r in zip(each[i], singles) if r}
+            read.append(" ".join([*out, *told.values()]))
+            placed.append(" ".join([told.get(t, t) for t in tokens[i]]) if told else "")
+        return read, placed
 
     def cut(self, texts, hashes, longest):
         """For each text the readings of runs of words that together are a known word, or begin as one."""
         words = Words(pa.array([_FAR.sub(" ", t) if not t.isascii() else t for t in texts], pa.large_string()), "plain")
         out = [""] * len(texts)
         ends, row = words.end(), words.row()
+        rows, spans = [], []
         for i, j in sorted(set(_joined(words, ends, row, hashes, longest))):
             a, b = max(i - 1, words.first[row[i]]), min(j + 2, words.first[row[i] + 1])
-            span = b" ".join(words.data[s:e].tobytes() for s, e in zip(words.start[a:b], ends[a:b]))
-            out[row[i]] += " " + self.read(span.decode("utf-8", "replace"), True)
+            rows.append(row[i])
+            spans.append(b" ".join(words.data[s:e].tobytes() for s, e in zip(words.start[a:b], ends[a:b])).decode("utf-8", "replace"))
+        for i, said in zip(rows, self.read(spans, True)):
+            out[i] += " " + said
         return out
 
 
@@ -261,7 +373,7 @@ def _both(part, restorer, hashes=None, longest=0):
     """Features of the texts and of their readings; words cut apart are looked for where ``hashes`` are known."""
     texts = [t or "" for t in part.column("text").to_pylist()]
     plain = _features(pa.array(texts, pa.large_string()))
-    read, placed = zip(*map(restorer, texts))
+    read, placed = restorer(texts)
     if hashes is not None:
         cut = restorer.cut([t.lower() for t in texts], hashes, longest), restorer.cut(placed, hashes, longest)
         read = [" ".join(x) for x in zip(read, *cut)]

@@ -150,3 +150,63 @@ def test_viterbi_takes_the_likeliest_path():
             counts[((a * 28 + b) * 28 + c) * 28 + d] += 1
     read = toxicity.Model(counts).decode
     assert read("1d10t") == "idiot" and read("!4dy").strip() == "lady" and read("idioooot") == "idiot" and read("l a d y") == "lady"
+
+
+def lattice_paths(span, whole):
+    """Every reading of ``span`` with the cost of its signs, by plain enumeration."""
+    blank, joined = (toxicity._KEPT, toxicity._NOTHING) if whole else (toxicity._END, toxicity._JOIN)
+    paths, before = [("", 0.0)], ""
+    for c in span:
+        if c.isalpha():
+            options = [(c, toxicity._KEPT)]
+        else:
+            letters = toxicity.SIGNS.get(c, "")
+            sign = bool(letters) and c not in toxicity._SEPARATORS
+            options = [(x, toxicity._SIGN - np.log(len(letters))) for x in letters]
+            options += [(" ", toxicity._END if sign else blank), ("", toxicity._NOTHING if sign else joined)]
+        if c == before and (c.isalpha() or c in toxicity.SIGNS):
+            options.append(("", toxicity._STRETCH))
+        paths = [(said + x, cost + y) for said, cost in paths for x, y in options]
+        before = c
+    return paths
+
+
+def spoken(model, said):
+    """Log-probability of a reading, ends in a row as one."""
+    x = toxicity.symbols(said)
+    return sum(model.log[a, b, c, d] for a, b, c, d in zip(x, x[1:], x[2:], x[3:]))
+
+
+def trained(words):
+    counts = np.zeros(28**4)
+    for w in words:
+        x = toxicity.symbols(w)
+        np.add.at(counts, ((x[:-3] * 28 + x[1:-2]) * 28 + x[2:-1]) * 28 + x[3:], 1)
+    return toxicity.Model(counts)
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_readings_are_the_best_of_all_lattice_paths(whole):
+    model, rng = trained(["idiot", "lady", "illegal", "bees", "élan", "a zoo"] * 5), random.Random(11)
+    spans = ["".join(rng.choice("ab1i0!$*e .-éz") for _ in range(rng.randrange(0, 7))) for _ in range(150)]
+    for span, got in zip(spans, model.readings(spans, whole)):
+        paths = {}
+        for said, cost in lattice_paths(span, whole):
+            paths[said] = max(paths.get(said, -np.inf), cost + spoken(model, said))
+        assert got in paths and paths[got] >= max(paths.values()) - 1e-9, span
+    assert [model.decode(s, whole) for s in spans] == model.readings(spans, whole)
+
+
+def test_a_long_mixed_token_settles_on_its_way(monkeypatch):
+    model, rng = trained(["idiot", "lady", "illegal", "bees"] * 5), random.Random(12)
+    kept = []
+    settle = toxicity._settle
+    monkeypatch.setattr(toxicity, "_settle", lambda back, states: (settle(back, states), kept.append(len(back)))[0])
+    long = "".join(rng.choice("abdegilsty10!") for _ in range(10_000))
+    got = model.decode(long)
+    assert len(kept) == 10_000 // toxicity._SETTLE and max(kept) < 200
+    monkeypatch.setattr(toxicity, "_SETTLE", 1 << 30)
+    assert model.decode(long) == got
+    monkeypatch.setattr(toxicity, "_ALONE", 1 << 30)
+    assert model.decode(long) == got
+    assert len(model.decode("ab1" * 20_000)) > 40_000
