@@ -42,6 +42,7 @@ _SEPARATORS = " \t.-_,*/"
 _EDGE, _OTHER, _SIZE = 26, 27, 28
 _LETTER = r"[^\W\d_]"
 _SIGN_CLASS = "@$!|+*€£("
+#: What makes a token suspicious; :func:`_suspicious` looks for it in all texts at once.
 _MIXED = re.compile(rf"{_LETTER}(?=[0-9{_SIGN_CLASS}])|[0-9{_SIGN_CLASS}](?={_LETTER})|({_LETTER})\1")
 _UNIT, _BETWEEN = rf"(?:[^\W_]|[{_SIGN_CLASS}])", rf"(?:[^\w{_SIGN_CLASS}]|_)+"
 _SPACED = re.compile(rf"(?<!{_UNIT})(?:{_UNIT}{_BETWEEN}){{2,}}{_UNIT}(?!{_UNIT})")
@@ -51,6 +52,7 @@ _FAR = re.compile(r"[^\w\x00-\x7f]")
 #: Logarithms of the channel: kept letter, stretched letter left out, sign for a letter, for an end, for nothing, separator for nothing.
 _KEPT, _STRETCH, _SIGN, _END, _NOTHING, _JOIN = (math.log(p) for p in (0.95, 0.3, 0.3, 0.2, 0.02, 0.5))
 _classes: list[np.ndarray] = []
+_kinds: list[np.ndarray] = []
 _CACHE = 100_000
 _START = (_EDGE * _SIZE + _EDGE) * _SIZE + _EDGE
 #: Characters decoded together.
@@ -273,15 +275,13 @@ class Restorer:
     def __init__(self, model):
         self.model, self.kept = model, ({}, {})
 
-    def read(self, spans, whole=False, mixed=False):
-        """The reading of each span; where only ``mixed`` ones are read, the others have none."""
+    def read(self, spans, whole=False):
+        """The reading of each span."""
         kept = self.kept[whole]
         if len(kept) > _CACHE:
             kept.clear()
         new = [s for s in dict.fromkeys(spans) if s not in kept]
-        kept.update((s, "") for s in new)
-        odd = [s for s in new if _MIXED.search(s)] if mixed else new
-        kept.update(zip(odd, self.model.readings(odd, whole)))
+        kept.update(zip(new, self.model.readings(new, whole)))
         out = [kept[s] for s in spans]
         for s in new:
             if len(s) > 64:
@@ -291,17 +291,27 @@ class Restorer:
     def __call__(self, texts):
         """For each text the readings of all suspicious tokens and spaced words, by spaces, and the text with the tokens' readings in place."""
         low = [t.lower() for t in texts]
-        spaced = [[_BLANKS.sub(" ", m[0]) for m in _SPACED.finditer(t)] for t in low]
-        tokens = [t.split() for t in low]
-        each = [list(dict.fromkeys(t)) for t in tokens]
-        runs = iter(self.read([s for row in spaced for s in row]))
-        singles = iter(self.read([t for row in each for t in row], mixed=True))
+        joined = "\n".join(low)
+        edges = np.cumsum([0, *[len(t) + 1 for t in low]])
+        row, start, end, spaced = _suspicious(joined, edges)
+        spans = [_BLANKS.sub(" ", m[0]) for i in spaced for m in _SPACED.finditer(low[i])]
+        runs = iter(self.read(spans))
+        found: list[list[str]] = [[] for _ in low]
+        for i in spaced:
+            found[i] = [next(runs) for _ in _SPACED.finditer(low[i])]
+        tokens = [joined[a:b] for a, b in zip(start, end)]
+        said = self.read(tokens)
+        first = np.searchsorted(row, np.arange(len(low) + 1)).tolist()
         read, placed = [], []
-        for i in range(len(texts)):
-            out = [next(runs) for _ in spaced[i]]
-            told = {t: r for t, r in zip(each[i], singles) if r}
-            read.append(" ".join([*out, *told.values()]))
-            placed.append(" ".join([told.get(t, t) for t in tokens[i]]) if told else "")
+        for i in range(len(low)):
+            told, pieces, at = {}, [], int(edges[i])
+            for k in range(first[i], first[i + 1]):
+                if said[k]:
+                    told[tokens[k]] = said[k]
+                    pieces += [joined[at : start[k]], said[k]]
+                    at = end[k]
+            read.append(" ".join([*found[i], *told.values()]))
+            placed.append("".join([*pieces, joined[at : int(edges[i + 1]) - 1]]) if told else "")
         return read, placed
 
     def cut(self, texts, hashes, longest):
@@ -319,6 +329,40 @@ class Restorer:
         return out
 
 
+def kinds():
+    """What every code point is: 1 for a letter, 2 for a digit or sign of the channel, 4 for white space, 8 for part of a unit."""
+    if not _kinds:
+        table = np.zeros(sys.maxunicode + 1, np.uint8)
+        for c in map(chr, range(sys.maxunicode + 1)):
+            if c.isalnum():
+                table[ord(c)] = 8 if c.isdecimal() else 9
+            elif c.isspace():
+                table[ord(c)] = 4
+        table[[ord(c) for c in _SIGN_CLASS]] |= 8
+        table[[ord(c) for c in "0123456789" + _SIGN_CLASS]] |= 2
+        _kinds.append(table)
+    return _kinds[0]
+
+
+def _suspicious(joined, edges):
+    """Where ``_MIXED`` is found, over texts at once: row, start and end of each such token; and the rows that ``_SPACED`` fits."""
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = kinds()[codes]
+    letter, sign = (kind & 1).astype(bool), (kind & 2).astype(bool)
+    same = codes[1:] == codes[:-1]
+    at = np.flatnonzero((letter[:-1] & (sign[1:] | same)) | (sign[:-1] & letter[1:]))
+    inside = np.concatenate([[False], (kind & 4) == 0, [False]])
+    start, end = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+    odd = np.unique(np.searchsorted(start, at, "right") - 1)
+    start, end = start[odd], end[odd]
+    unit = np.concatenate([[False], (kind & 8) > 0, [False]])
+    begin, size = np.flatnonzero(unit[1:] & ~unit[:-1]), np.flatnonzero(unit[:-1] & ~unit[1:]) - np.flatnonzero(unit[1:] & ~unit[:-1])
+    text = np.searchsorted(edges, begin, "right") - 1
+    one = size == 1
+    three = one[:-2] & one[1:-1] & one[2:] & (text[:-2] == text[2:])
+    return np.searchsorted(edges, start, "right") - 1, start.tolist(), end.tolist(), np.unique(text[:-2][three]).tolist()
+
+
 def _joined(words, ends, row, hashes, longest):
     """``(first, last)`` of runs of at least two words of one row whose letters put together are a known feature."""
     n = len(words.start)
