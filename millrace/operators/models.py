@@ -44,6 +44,18 @@ def preprocess(numeric, categorical):
     return [numbers, scaled, indexed, hot, vector]
 
 
+def preprocessed(df, numeric, categorical) -> DataFrame:
+    """``df`` with the fitted stages as columns: ``z_<number>`` and a map ``hot_<category>`` of the known values to 0 or 1."""
+    fitted = Pipeline(stages=preprocess(numeric, categorical)).fit(df)
+    out = fitted.transform(df)
+    scaled = vector_to_array("_scaled")
+    columns = {f"z_{c}": F.get(scaled, F.lit(i)) for i, c in enumerate(numeric)}
+    for c, names in zip(categorical, fitted.stages[2].labelsArray):
+        known = F.slice(vector_to_array(f"_h_{c}"), 1, len(names))
+        columns[f"hot_{c}"] = F.map_from_arrays(F.array(*[F.lit(x) for x in names]), F.transform(known, lambda x: x.cast("int")))
+    return out.withColumns(columns).select(*df.columns, *columns)
+
+
 def balanced(df, label="label", name="weight") -> DataFrame:
     """Row weights that give every class the same total."""
     weights = evaluation.class_weights(df, label).select(F.col(label).alias("_l"), F.col("weight").alias(name))

@@ -35,6 +35,41 @@ def q_months_available(spark, folder):
     return files.months_available(paths, "path", exclude=("1995-05",))
 
 
+@query(
+    "q_month_batch",
+    """WITH r AS (SELECT strftime(o_orderdate, '%Y-%m') AS data_month, o_orderkey,
+  o_orderkey % 1000 = 0 OR strftime(o_orderdate, '%Y-%m') = '1995-05' AS bad FROM orders),
+m AS (SELECT data_month, count(*) AS n, count(*) FILTER (WHERE bad) AS n_bad, (sum(o_orderkey) FILTER (WHERE NOT bad))::bigint AS key_sum FROM r GROUP BY 1)
+SELECT data_month, n, n_bad, CASE WHEN n_bad > 0.5 * n THEN 'failed' ELSE 'saved' END AS status,
+  CASE WHEN n_bad > 0.5 * n THEN NULL ELSE key_sum END AS key_sum FROM m""",
+)
+def q_month_batch(spark, folder):
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    broken = (F.col("o_orderkey") % 1000 == 0) | (month == "1995-05")
+    orders = v.table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.when(broken, F.lit("n/a?")).otherwise(F.col("o_totalprice").cast("string")).alias("price"),
+        F.concat(F.lit("calendar_"), month).alias("file"),
+    )
+    path = scratch(spark, "feed")
+    orders.repartition("file").write.partitionBy("file").option("header", True).csv(path)
+    rows, _, report = files.load_months(
+        spark, f"{path}/file=*/*.csv", "o_orderkey long, price double", scratch(spark, "loaded")
+    )
+    sums = rows.groupBy("data_month").agg(F.sum("o_orderkey").alias("key_sum"))
+    return report.join(sums, "data_month", "left")
+
+
+@query(
+    "q_report_csv",
+    "SELECT c_custkey, c_mktsegment, round(c_acctbal, 0) AS c_acctbal FROM customer",
+)
+def q_report_csv(spark, folder):
+    path = scratch(spark, "report")
+    files.write_report_csv(v.table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_acctbal"), path, {"c_acctbal": 0})
+    return files.read_csv(spark, path, "c_custkey long, c_mktsegment string, c_acctbal double")
+
+
 @query(
     "q_io_parquet_roundtrip",
     "SELECT o_orderkey, o_totalprice, o_orderpriority, strftime(o_orderdate, '%Y-%m') AS data_month FROM orders",

@@ -131,7 +131,8 @@ def q_class_weights(spark, folder):
 
 @query("q_standardize", "SELECT c_custkey, round((c_acctbal - avg(c_acctbal) OVER ()) / stddev_samp(c_acctbal) OVER (), 8) AS z_c_acctbal FROM customer")
 def q_standardize(spark, folder):
-    out = stats.standardize(v.table(spark, folder, "customer"), ["c_acctbal"], population=False)
+    rows = v.table(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    out = models.preprocessed(rows, ["c_acctbal"], ["c_mktsegment"])
     return out.select("c_custkey", F.round("z_c_acctbal", 8).alias("z_c_acctbal"))
 
 
@@ -140,9 +141,11 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 @query("q_onehot", "SELECT o_orderkey, " + ", ".join(f"(o_orderpriority = '{p}')::bigint AS is_{i}" for i, p in enumerate(PRIORITIES)) + " FROM orders")
 def q_onehot(spark, folder):
-    p = F.col("o_orderpriority")
-    return v.table(spark, folder, "orders").select(
-        "o_orderkey", *[(p == name).cast("int").alias(f"is_{i}") for i, name in enumerate(PRIORITIES)]
+    rows = v.table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    hot = models.preprocessed(rows, ["o_totalprice"], ["o_orderpriority"])
+    return hot.select(
+        "o_orderkey",
+        *[F.coalesce(F.try_element_at("hot_o_orderpriority", F.lit(p)), F.lit(0)).alias(f"is_{i}") for i, p in enumerate(PRIORITIES)],
     )
 
 

@@ -49,6 +49,25 @@ def read_months(spark, pattern, schema, corrupt="_corrupt_record") -> DataFrame:
     )
 
 
+def load_months(spark, pattern, schema, path, max_bad=0.5, corrupt="_corrupt_record"):
+    """All monthly files in one job: ``(rows, quarantine, report)``.
+
+    The files are read once and written below ``path`` by month.  Rows that do
+    not parse go to the quarantine with their line and month.  A month in which
+    their share exceeds ``max_bad`` fails as a whole, the others go on; the
+    report has ``data_month, n, n_bad, status`` for each month.
+    """
+    kept = read_months(spark, pattern, schema, corrupt)
+    kept.write.mode("overwrite").partitionBy("data_month").parquet(path)
+    kept = spark.read.schema(kept.schema).parquet(path)
+    bad = F.col(corrupt).isNotNull()
+    report = kept.groupBy("data_month").agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("n_bad"))
+    report = report.withColumn("status", F.when(F.col("n_bad") > max_bad * F.col("n"), "failed").otherwise("saved"))
+    saved = report.filter("status = 'saved'").select("data_month")
+    rows = kept.filter(~bad).join(saved, "data_month", "left_semi").drop(corrupt)
+    return rows, kept.filter(bad).select("data_month", F.col(corrupt).alias("line")), report
+
+
 def load_month(spark, root, month, schemas=None):
     """Calendar, listings and neighbourhoods of one month."""
     schemas = schemas or {}
