@@ -1,0 +1,29 @@
+from pyspark.sql import functions as F
+
+from millrace.llm.heavy import dealt
+
+
+def test_dealt_equals_plain_join_and_spreads_a_hot_key(spark):
+    many = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).cast("long").alias("k"), F.col("id").alias("v"))
+    many = many.union(spark.createDataFrame([(None, -1)], "k long, v long"))
+    one = spark.range(0, 500, 2).select(F.col("id").alias("k"), (F.col("id") * 7).alias("w"))
+    counts = many.dropna().groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    for how in ("inner", "left_semi"):
+        got = dealt(many, one, "k", counts, ["v"], how, share=100)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, many.join(one, "k", how).collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed = dealt(many, one, "k", counts, ["v"], share=100).filter("k = 0").groupBy(F.spark_partition_id()).count().collect()
+        assert len(placed) > 1 and sum(r["count"] for r in placed) == 3000 + 12
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_dealt_of_empty_tables(spark):
+    none = spark.createDataFrame([], "k long, v long")
+    counts = none.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    assert dealt(none, none.withColumnRenamed("v", "w"), "k", counts, ["v"]).count() == 0
+    some = spark.createDataFrame([(1, 2), (None, 3)], "k long, v long")
+    assert dealt(some, some.withColumnRenamed("v", "w"), "k", counts, ["v"]).collect() == [(1, 2, 2)]
