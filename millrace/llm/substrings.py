@@ -9,9 +9,8 @@ windows of the wanted width, so doubling ends there.
 
 Texts that occur more than once take part once, under their smallest id: every
 window of the others starts earlier there. Positions travel, texts are shuffled
-once (the exchange on the id serves all three passes), and hot windows and texts
-meet only in aggregates with map-side combine and in joins that deal their rows
-over parts.
+once (the exchange on the id serves all three passes). Counts of hot windows meet in
+aggregates with map-side combine; the rows of one hot window join them in one task.
 """
 
 from __future__ import annotations
@@ -25,7 +24,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import Words, slices, whole, windows
-from .heavy import dealt
 
 WINDOW = 20
 #: Stands for a null id inside the operator; it comes before all others.
@@ -182,16 +180,15 @@ def dedup(docs, id="doc_id", text="text", window=WINDOW):
     )
     # Digests are made again after each shuffle of the texts, so that one exchange serves all passes.
     sha = F.unhex(F.sha2("text", 256))
-    copies = base.groupBy(sha.alias("sha")).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
-    owners = copies.select("doc_id").distinct()
+    owners = base.groupBy(sha.alias("sha")).agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     texts = base.join(owners, "doc_id", "left_semi")
     halves = texts.select("doc_id", "text").mapInArrow(_halves(window), "h long, doc_id long, p int")
-    seen = halves.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    places = dealt(halves, seen.select("h"), "h", seen, ["doc_id", "p"], "left_semi").groupBy("doc_id").agg(F.collect_list("p").alias("ps"))
+    seen = halves.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    places = halves.join(seen, "h", "left_semi").groupBy("doc_id").agg(F.collect_list("p").alias("ps"))
     wide = texts.join(places, "doc_id").select("doc_id", "text", "ps")
     wide = wide.mapInArrow(_wanted(window), "h long, doc_id long, s int")
-    first = wide.groupBy("h").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    named = dealt(wide, first.select("h", "first"), "h", first.select("h", "n"), ["doc_id", "s"]).filter(F.col("first") < F.col("doc_id"))
+    first = wide.groupBy("h").agg(F.min("doc_id").alias("first"))
+    named = wide.join(first, "h").filter(F.col("first") < F.col("doc_id"))
     check = F.shiftleft(F.col("s").cast("long"), _CHECK).bitwiseOR(F.col("h").bitwiseAND(F.lit((1 << _CHECK) - 1)))
     gone = named.groupBy("doc_id").agg(F.collect_list(check).alias("gone"))
     empty = F.expr("cast(array() as array<long>)")
@@ -208,7 +205,7 @@ def dedup(docs, id="doc_id", text="text", window=WINDOW):
         F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)).alias("sha"),
     )
     copy = (F.col("order") != F.col("r.doc_id")) & (F.col("r.n_words") >= window)
-    return dealt(rows, judged, "sha", copies.filter("n > 1").select("sha", "n"), ["order"]).select(
+    return rows.join(judged, "sha").select(
         "doc_id", F.col("r.n_words").alias("n_words"),
         F.when(copy, F.col("r.n_words")).otherwise(F.col("r.n_removed")).alias("n_removed"),
         F.when(copy, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("r.kept_sha256")).alias("kept_sha256"),
