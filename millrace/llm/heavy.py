@@ -24,21 +24,3 @@ def lookup(many, one, on, share=SHARE):
     rows = F.broadcast(one.join(heavy, on, "left_semi"))
     hot = many.join(heavy, on, "left_semi").join(rows, on, "left")
     return many.join(heavy, on, "left_anti").join(one, on, "left").unionByName(hot)
-
-
-def dealt(many, one, on, counts, by, how="inner", share=SHARE):
-    """Join of ``many`` with ``one``, which holds every key at most once; rows of a heavy key are dealt over parts.
-
-    ``counts`` holds ``on`` and ``n``, the rows of ``many`` under each key that
-    matters. A key with more than a part in ``share`` of their sum is cut by the
-    hash of the columns ``by`` into parts of about that size, and its row of
-    ``one`` stands in each of them. Fewer than ``share`` keys are heavy, whatever
-    the size of the input, and the parts they add to ``one`` are fewer than twice
-    as many. ``many`` is read once. Null keys match nothing.
-    """
-    limit = counts.agg(F.greatest(F.sum("n") / share, F.lit(1.0)).alias("n")).scalar()
-    hot = F.broadcast(counts.filter(F.col("n") > limit).select(on, F.ceil(F.col("n") / limit).cast("int").alias("_parts")))
-    parts = F.coalesce("_parts", F.lit(1))
-    left = many.join(hot, on, "left").withColumn("_part", F.pmod(F.xxhash64(*by), parts).cast("int")).drop("_parts")
-    right = one.join(hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
-    return left.join(right, [on, "_part"], how).drop("_part")
