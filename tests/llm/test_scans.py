@@ -131,3 +131,10 @@ def test_automata_against_expanded_wordings():
             states = machine.step(states, w, lambda w=w: w)
         fits = any(len(words) == len(t) and all(x == y or x == "?" for x, y in zip(t, words)) for t in accepted)
         assert bool(states & machine.accept) == fits, words
+
+
+def test_scans_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "doc_id long, text string, kind string")
+    for found in (licenses.scan(none), secret_scan.scan(none)):
+        assert found.columns[0] == "doc_id" and found.collect() == []
+    assert secret_scan.masked(none).collect() == []
