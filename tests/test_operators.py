@@ -6,6 +6,7 @@ import json
 import math
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -440,3 +441,31 @@ def test_report_csv(spark, tmp_path):
     path = str(tmp_path / "report")
     files.write_report_csv(spark.createDataFrame([(1.23456,)], "pnl double"), path, {"pnl": 2})
     assert spark.read.option("header", True).csv(path).first()["pnl"] == "1.23"
+
+
+def test_sets_are_compared_exactly_whatever_the_columns():
+    """Long texts of a common vocabulary: the rarer elements, not held as columns, are counted where they decide."""
+    rng = np.random.default_rng(3)
+    base = np.arange(400)
+    sets = []
+    for _ in range(300):
+        own = rng.choice(base, rng.integers(180, 300), replace=False)
+        sets.append(np.sort(np.concatenate([own, rng.choice(np.arange(1000, 4000), rng.integers(0, 60), replace=False)])))
+        if rng.random() < 0.5:
+            old = sets[rng.integers(len(sets))]
+            sets.append(np.sort(old[rng.random(len(old)) < 0.85]))
+    sets += [sets[5].copy(), np.empty(0, np.int64), np.empty(0, np.int64)]
+    places = rng.permutation(len(sets))
+    plain = [set(s.tolist()) for s in sets]
+    kept = []
+    for i in np.argsort(places):
+        a = plain[i]
+        if not any(a and plain[j] and len(a & plain[j]) / len(a | plain[j]) >= sentiment.SIMILAR for j in kept):
+            kept.append(i)
+    assert len(kept) < len(sets) - 20
+    assert sorted(sentiment._greedy(places, sets, sentiment.SIMILAR, step=64)) == sorted(kept)
+    full = [s for s in sets if len(s)]
+    for columns in (16, 256, 8_192):
+        compared, rows, others = sentiment._Sets(full, sentiment.SIMILAR, columns), np.arange(40), np.arange(40, len(full))
+        want = [i for i in rows if not any(len(set(full[i]) & set(full[j])) / len(set(full[i]) | set(full[j])) >= sentiment.SIMILAR for j in others)]
+        assert compared.open(rows, others, 32).tolist() == want
