@@ -469,3 +469,22 @@ def test_sets_are_compared_exactly_whatever_the_columns():
         compared, rows, others = sentiment._Sets(full, sentiment.SIMILAR, columns), np.arange(40), np.arange(40, len(full))
         want = [i for i in rows if not any(len(set(full[i]) & set(full[j])) / len(set(full[i]) | set(full[j])) >= sentiment.SIMILAR for j in others)]
         assert compared.open(rows, others, 32).tolist() == want
+
+
+def test_holding_days_never_shuffle_the_days(spark):
+    d = lambda k: dt.date(2024, 1, 1) + dt.timedelta(k)
+    spans = [(1, d(-5), d(3)), (2, d(2), d(2)), (3, d(4), d(40)), (4, d(3), d(2)), (5, d(-9), d(-2)), (6, None, d(3)), (7, d(3), d(3))]
+    open_ = [d(k) for k in (0, 1, 2, 5, 6, 9)]
+    trades_ = spark.createDataFrame(spans, "trade_id int, entry_date date, exit_date date")
+    calendar = spark.createDataFrame([(x,) for x in open_ * 2 + [None]], "date date")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        days = trades.holding_days(trades_, calendar).select("trade_id", "date")
+        got = sorted(tuple(r) for r in days.collect())
+        plan = days._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == sorted((i, x) for i, a, z in spans if a for x in open_ if a <= x <= z)
+    assert "Join" not in plan
+    assert trades.holding_days(trades_, calendar.limit(0)).count() == 0
