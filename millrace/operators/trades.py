@@ -19,7 +19,10 @@ RULES = {
     "sell_consensus": 0.70,
     "min_headlines": 5,
 }
-EXIT_COLUMNS = "exit_date date, exit_price double, exit_reason string"
+#: Columns of an exit and their pandas types; the day is counted from 1970.
+EXITS = [("exit_day", "int32"), ("exit_price", "float64"), ("exit_reason", object)]
+#: Calls that label exits; each takes the tickers of one hash value.
+PARTS = 2_048
 
 
 def holding_days(trades, calendar) -> DataFrame:
@@ -92,25 +95,28 @@ def _first_exit(o, h, l, c, ma, sell, start, entry, dist, target, hold):
     return n - 1, c[n - 1], "OPEN"
 
 
-def _label_ticker(entries, bars):
-    bars = bars.sort_values("date", kind="stable")
+def _label_part(entries, bars):
+    """Exits of the entries of some tickers; an entry on a day without a bar leaves."""
+    bars = bars.sort_values(["ticker", "_day"], kind="stable")
     o, h, l, c, ma = (bars[x].to_numpy(float) for x in ("open", "high", "low", "close", "ma50"))
-    sell, days = bars["sell"].to_numpy(bool), bars["date"].to_numpy()
-    where = {d: i for i, d in enumerate(days)}
-    entries = entries[entries["entry_date"].isin(where)]
-    if entries.empty:
-        return entries.assign(exit_date=None, exit_price=None, exit_reason=None).astype(object)
-    out = []
-    for e in entries.itertuples(index=False):
+    sell, days = bars["sell"].to_numpy(bool), bars["_day"].to_numpy()
+    names, starts = np.unique(bars["ticker"].to_numpy(), return_index=True)
+    ends = np.append(starts[1:], len(bars))
+    spans = {name: slice(x, y) for name, x, y in zip(names.tolist(), starts.tolist(), ends.tolist())}
+    rows, out = [], []
+    for i, e in enumerate(entries.itertuples(index=False)):
+        own = spans.get(e.ticker)
+        if own is None:
+            continue
+        at = int(np.searchsorted(days[own], e.start_day))
+        if at == own.stop - own.start or days[own][at] != e.start_day:
+            continue
         target = float(_cents(e.entry_price * (1 + e.take_profit_pct)))
-        out.append(
-            _first_exit(o, h, l, c, ma, sell, where[e.entry_date], e.entry_price, e.dist, target, e.trend_min_hold)
-        )
-    done = entries.copy()
-    done["exit_date"] = pd.Series([days[i] for i, _, _ in out], index=done.index, dtype=object)
-    done["exit_price"] = [float(p) for _, p, _ in out]
-    done["exit_reason"] = [r for _, _, r in out]
-    return done
+        k, price, why = _first_exit(o[own], h[own], l[own], c[own], ma[own], sell[own], at, e.entry_price, e.dist, target, e.trend_min_hold)
+        rows.append(i)
+        out.append((int(days[own][k]), float(price), why))
+    done = entries.iloc[rows].drop(columns=["_part", "start_day"])
+    return done.assign(**{n: pd.Series([r[j] for r in out], index=done.index, dtype=t) for j, (n, t) in enumerate(EXITS)})
 
 
 def label_exits(entries, bars, sentiment=None, rules=None) -> DataFrame:
@@ -120,13 +126,15 @@ def label_exits(entries, bars, sentiment=None, rules=None) -> DataFrame:
     ``take_profit_pct`` and ``trend_min_hold``, and keeps its other columns.  Each
     entry scans its ticker's days until the first exit, so no entry-by-day table
     is built.  Days and entries per ticker are bounded by the calendar (times the
-    parameter sets of a sweep).
+    parameter sets of a sweep); one call takes the tickers of one of ``PARTS``
+    hash values, as a call per ticker costs more than its work.
     """
     r = {**RULES, **(rules or {})}
     for name in ("take_profit_pct", "trend_min_hold"):
         if name not in entries.columns:
             entries = entries.withColumn(name, F.lit(r[name]))
-    marked = ts.rolling_means(bars, "close", {"ma50": 50})
+    used = entries.select("ticker").distinct()
+    marked = ts.rolling_means(bars.join(used, "ticker", "left_semi").select("ticker", "date", "open", "high", "low", "close"), "close", {"ma50": 50})
     if sentiment is not None:
         bad = (
             (F.col("score") < r["sell_floor"])
@@ -137,15 +145,19 @@ def label_exits(entries, bars, sentiment=None, rules=None) -> DataFrame:
         marked = marked.join(days, ["ticker", "date"], "left")
     else:
         marked = marked.withColumn("sell", F.lit(False))
-    marked = marked.select("ticker", "date", "open", "high", "low", "close", "ma50", F.coalesce("sell", F.lit(False)).alias("sell"))
-    marked = marked.join(entries.select("ticker").distinct(), "ticker", "left_semi")
+    part = F.pmod(F.xxhash64("ticker"), F.lit(PARTS)).alias("_part")
+    marked = marked.select(
+        "ticker", F.unix_date("date").alias("_day"), "open", "high", "low", "close", "ma50", F.coalesce("sell", F.lit(False)).alias("sell"), part
+    )
     typed = entries.withColumns(
         {"take_profit_pct": F.col("take_profit_pct").cast("double"), "trend_min_hold": F.col("trend_min_hold").cast("int")}
     )
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in typed.schema)
-    return typed.groupBy("ticker").cogroup(marked.groupBy("ticker")).applyInPandas(
-        _label_ticker, f"{kept}, {EXIT_COLUMNS}"
+    dealt = typed.select("*", F.unix_date("entry_date").alias("start_day"), part)
+    labelled = dealt.groupBy("_part").cogroup(marked.groupBy("_part")).applyInPandas(
+        _label_part, f"{kept}, exit_day int, exit_price double, exit_reason string"
     )
+    return labelled.select(*typed.columns, F.date_from_unix_date("exit_day").alias("exit_date"), "exit_price", "exit_reason")
 
 
 def cooldown(df, gap_days=5, key="ticker", start="entry_date", end="exit_date") -> DataFrame:
@@ -157,7 +169,7 @@ def cooldown(df, gap_days=5, key="ticker", start="entry_date", end="exit_date")
     keys = [key] if isinstance(key, str) else list(key)
     gap = F.col(gap_days) if isinstance(gap_days, str) else F.lit(gap_days)
     one = df.groupBy(*keys, start).agg(F.min_by(F.struct(*[c for c in df.columns if c not in (*keys, start)]), "trade_id").alias("_r"))
-    rows = F.sort_array(F.collect_list(F.struct(F.col(start).alias("s"), F.col(f"_r.{end}").alias("e"))))
+    rows = F.sort_array(F.collect_list(F.struct(F.col(start).alias("s"), F.col(f"_r.{end}").alias("e"), "_r")))
     kind = "array<date>"
 
     def step(state, row):
@@ -169,8 +181,8 @@ def cooldown(df, gap_days=5, key="ticker", start="entry_date", end="exit_date")
 
     first = F.struct(F.lit(None).cast("date").alias("last"), F.array().cast(kind).alias("kept"))
     kept = one.groupBy(*keys).agg(rows.alias("_rows")).withColumn("_f", F.aggregate("_rows", first, step))
-    accepted = kept.select(*keys, F.explode("_f.kept").alias(start))
-    return one.join(accepted, [*keys, start]).select(*keys, start, "_r.*").select(*df.columns)
+    accepted = F.filter("_rows", lambda row: F.array_contains(F.col("_f.kept"), row["s"]))
+    return kept.select(*keys, F.explode(accepted).alias("_a")).select(*keys, F.col("_a.s").alias(start), "_a._r.*").select(*df.columns)
 
 
 def log(trades) -> DataFrame:

@@ -303,21 +303,24 @@ FROM lineitem GROUP BY l_suppkey, cast(l_shipdate as date)
 """
 
 
+def bar_columns():
+    """Aggregates of a bar.  Lines equal up to price and quantity give the same unit price, so the rest of LINE_ORDER decides nothing."""
+    unit = F.col("l_extendedprice") / F.col("l_quantity")
+    order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
+    price = lambda line: line["l_extendedprice"] / line["l_quantity"]
+    return [
+        price(F.min(order)).alias("open"),
+        F.max(unit).alias("high"),
+        F.min(unit).alias("low"),
+        price(F.max(order)).alias("close"),
+        F.sum("l_quantity").alias("volume"),
+    ]
+
+
 def bars(spark, folder):
     """One row per ticker and day: groups by ticker are bounded by the calendar."""
-    unit = F.col("l_extendedprice") / F.col("l_quantity")
-    order = F.struct(*LINE_ORDER)
-    return (
-        table(spark, folder, "lineitem")
-        .groupBy(F.col("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date"))
-        .agg(
-            F.min_by(unit, order).alias("open"),
-            F.max(unit).alias("high"),
-            F.min(unit).alias("low"),
-            F.max_by(unit, order).alias("close"),
-            F.sum("l_quantity").alias("volume"),
-        )
-    )
+    lines = table(spark, folder, "lineitem")
+    return lines.groupBy(F.col("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date")).agg(*bar_columns())
 
 
 SQL["v_bench"] = """
@@ -325,8 +328,8 @@ SELECT date, cast(sum(cast(close as decimal(18,6))) as double) / count(*) AS clo
 """
 
 
-def bench(spark, folder):
-    return bars(spark, folder).groupBy("date").agg(
+def bench(spark, folder, days=None):
+    return (bars(spark, folder) if days is None else days).groupBy("date").agg(
         (F.sum(F.col("close").cast("decimal(18,6)")).cast("double") / F.count(F.lit(1))).alias("close")
     )
 

@@ -488,3 +488,41 @@ def test_holding_days_never_shuffle_the_days(spark):
     assert got == sorted((i, x) for i, a, z in spans if a for x in open_ if a <= x <= z)
     assert "Join" not in plan
     assert trades.holding_days(trades_, calendar.limit(0)).count() == 0
+
+
+def test_exits_of_many_tickers_are_labelled_once(spark, monkeypatch):
+    """Tickers share calls, and the cooldown reads the labelled trades once."""
+    monkeypatch.setattr(trades, "PARTS", 3)
+    rng, d = random.Random(2), lambda k: dt.date(2024, 1, 1) + dt.timedelta(k)
+    bars, opened = [], []
+    for ticker in range(20):
+        for k in range(45):
+            if rng.random() < 0.8:
+                close = 100 + rng.uniform(-11, 11)
+                bars.append((ticker, d(k), close, close + 2, close - 2, close, 5.0))
+        opened += [(f"{ticker}-{k}", ticker, d(k), 100.0, 20.0) for k in range(0, 45, 7)]
+    opened += [("none", 99, d(0), 100.0, 20.0), ("null", None, d(0), 100.0, 20.0)]
+    days = spark.createDataFrame(bars, "ticker long, date date, open double, high double, low double, close double, volume double")
+    starts = spark.createDataFrame(opened, "trade_id string, ticker long, entry_date date, entry_price double, dist double")
+    got = {r["trade_id"]: (r["exit_date"], r["exit_price"], r["exit_reason"]) for r in trades.label_exits(starts, days).collect()}
+    want = {}
+    for i, ticker, start, price, dist in opened:
+        own = sorted(b for b in bars if b[0] == ticker)
+        if start not in [b[1] for b in own]:
+            continue
+        own, peak = [b for b in own if b[1] >= start], price
+        want[i] = (own[-1][1], own[-1][5], "OPEN")
+        for _, day, o, h, low, c, _ in own:
+            peak = max(peak, h)
+            stop = math.floor((peak - dist) * 100 + 0.5) / 100
+            if low <= stop:
+                want[i] = (day, min(o, stop), "STOP_LOSS")
+                break
+            if h >= 112.0:
+                want[i] = (day, 112.0, "TAKE_PROFIT")
+                break
+    assert got == want and len({w[2] for w in want.values()}) > 1
+    cooled = trades.cooldown(trades.label_exits(starts, days))
+    assert cooled.columns == [*starts.columns, "take_profit_pct", "trend_min_hold", "exit_date", "exit_price", "exit_reason"]
+    plan = cooled._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapCoGroupsInPandas") == 1
