@@ -32,18 +32,18 @@ def tech_score(bars, fast=50, slow=200) -> DataFrame:
     )
 
 
-def entry_gates(days, sentiment, gates=None) -> DataFrame:
+def entry_gates(days, sentiment=None, gates=None) -> DataFrame:
     """First failing gate per ticker and day, in order; ``passes`` where there is none.
 
     ``days`` holds ``tech_norm``, ``above_ma50`` and ``rsi`` (null skips that
-    gate), ``sentiment`` the daily roll-up.  A day without a roll-up fails.
+    gate), ``sentiment`` the daily roll-up; without it ``days`` holds its columns
+    too.  A day without a roll-up fails.
     """
     g = {**GATES, **(gates or {})}
-    joined = days.join(
-        sentiment.select("ticker", "date", "score", "consensus_pct", "headline_count", "momentum"),
-        ["ticker", "date"],
-        "left",
-    )
+    joined = days
+    if sentiment is not None:
+        mood = sentiment.select("ticker", "date", "score", "consensus_pct", "headline_count", "momentum")
+        joined = days.join(mood, ["ticker", "date"], "left")
     reason = (
         F.when(~F.coalesce("above_ma50", F.lit(False)), "below_ma50")
         .when(F.coalesce("tech_norm", F.lit(0.0)) < g["tech_floor"], "tech_floor")
