@@ -195,19 +195,18 @@ def write_customer_info(df, table, mode="append"):
     typed.write.mode(mode).saveAsTable(table)
 
 
+def delivered(items) -> DataFrame:
+    """Days from purchase to delivery."""
+    return items.withColumn(
+        "order_deliver_days", dates.floor_days(F.col("order_delivered_customer_date"), F.col("order_purchase_timestamp"))
+    )
+
+
 def tenure(items) -> DataFrame:
     """First purchase per customer, days since then, and days to delivery."""
     first = F.min("order_purchase_timestamp").alias("first_order_ts")
-    return with_group(items, ["customer_unique_id"], [first]).withColumns(
-        {
-            "customer_tenure_days": dates.floor_days(
-                F.col("order_purchase_timestamp"), F.col("first_order_ts")
-            ),
-            "order_deliver_days": dates.floor_days(
-                F.col("order_delivered_customer_date"), F.col("order_purchase_timestamp")
-            ),
-        }
-    )
+    days = dates.floor_days(F.col("order_purchase_timestamp"), F.col("first_order_ts"))
+    return delivered(with_group(items, ["customer_unique_id"], [first]).withColumn("customer_tenure_days", days))
 
 
 def order_summary(items) -> DataFrame:

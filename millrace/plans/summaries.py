@@ -195,12 +195,18 @@ FROM v_tenure i LEFT JOIN (SELECT seller_id, CASE WHEN seller_id % 10 <> 0 THEN
 v.SQL["v_filled"] = """SELECT * REPLACE (coalesce(rank, max(rank) OVER (PARTITION BY product_id) + 1) AS rank) FROM v_ranked WHERE product_id IS NOT NULL"""
 
 
-def tenured(spark, folder):
-    return cohort.tenure(v.items(spark, folder))
+def delivered(spark, folder):
+    """Items with their delivery days; the tenure of customers, a second pass over all items, is not needed here."""
+    return cohort.delivered(v.items(spark, folder))
+
+
+def sellers(spark, folder):
+    # One row per seller, read several times by the standard scores.
+    return stored(ranking.seller_perf(delivered(spark, folder)), "sellers")
 
 
 def scored(spark, folder):
-    out = ranking.priority(ranking.seller_perf(tenured(spark, folder)))
+    out = ranking.priority(sellers(spark, folder))
     return out.withColumn("priority_score", F.round("priority_score", 9))
 
 
@@ -210,7 +216,7 @@ def to_rank(spark, folder):
         "seller_id", F.when(F.col("seller_id") % 10 != 0, F.col("priority_score")).alias("priority_score")
     )
     columns = [*v.ITEM_TIE, "product_id", "seller_id", "customer_unique_id", "review_score", "order_deliver_days"]
-    items = tenured(spark, folder).select(*columns)
+    items = delivered(spark, folder).select(*columns)
     return items.join(scores, "seller_id", "left")
 
 
@@ -229,7 +235,7 @@ RANK_SQL = "order_id, order_item_id::bigint AS order_item_id, product_id, seller
 
 @query("q_seller_perf", "SELECT seller_id, round(avg_rev, 6) AS avg_rev, round(avg_del, 6) AS avg_del FROM v_perf")
 def q_seller_perf(spark, folder):
-    return ranking.seller_perf(tenured(spark, folder)).withColumns(
+    return ranking.seller_perf(delivered(spark, folder)).withColumns(
         {"avg_rev": F.round("avg_rev", 6), "avg_del": F.round("avg_del", 6)}
     )
 
@@ -239,7 +245,7 @@ def q_seller_perf(spark, folder):
     "SELECT seller_id, round(z_rev, 6) AS z_rev, round(z_del, 6) AS z_del, round((z_rev + z_del) / 2, 6) AS priority_score FROM v_priority",
 )
 def q_priority(spark, folder):
-    out = ranking.priority(ranking.seller_perf(tenured(spark, folder)))
+    out = ranking.priority(sellers(spark, folder))
     return out.select("seller_id", *[F.round(c, 6).alias(c) for c in ("z_rev", "z_del", "priority_score")])
 
 

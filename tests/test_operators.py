@@ -526,3 +526,13 @@ def test_exits_of_many_tickers_are_labelled_once(spark, monkeypatch):
     assert cooled.columns == [*starts.columns, "take_profit_pct", "trend_min_hold", "exit_date", "exit_price", "exit_reason"]
     plan = cooled._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FlatMapCoGroupsInPandas") == 1
+
+
+def test_delivery_days_without_a_second_pass(spark):
+    rows_ = [(1, "a", dt.datetime(2024, 1, 1, 12), dt.datetime(2024, 1, 4)), (2, "a", dt.datetime(2024, 1, 5), None), (3, None, dt.datetime(2024, 1, 9), dt.datetime(2024, 1, 8))]
+    items = spark.createDataFrame(rows_, "order_id int, customer_unique_id string, order_purchase_timestamp timestamp_ntz, order_delivered_customer_date timestamp_ntz")
+    slim = cohort.delivered(items)
+    assert {(r["order_id"], r["order_deliver_days"]) for r in slim.collect()} == {
+        (r["order_id"], r["order_deliver_days"]) for r in cohort.tenure(items).collect()
+    }
+    assert "Exchange" not in slim._jdf.queryExecution().executedPlan().toString()
