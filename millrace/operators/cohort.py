@@ -112,14 +112,16 @@ def week_spine(conversions, last_week) -> DataFrame:
     )
 
 
-def customer_info(orders, conversions, customers, dates_dim) -> DataFrame:
+def customer_info(orders, conversions, customers, dates_dim, amounts=None) -> DataFrame:
     """Dense customer x conversion x week table, twenty columns.
 
     Running sums only move in weeks with orders, so they are taken over the
     weeks in which something happens (an order or a conversion).  Each such week
     is then stretched to the week before the next one; the dense rows appear in
     that last, narrow step and are never shuffled.  A customer has at most one
-    row per week in every window.
+    row per week in every window.  ``amounts`` names the type of the sums, which
+    are exact decimals without it; they are cast before the weeks are stretched.
+    ``orders`` is read twice.
     """
     weeks = dates_dim.select("sk_date", "running_week", "year_week")
     labels = dates_dim.select(F.col("running_week").alias("week"), F.col("year_week").alias("order_week")).distinct()
@@ -146,11 +148,13 @@ def customer_info(orders, conversions, customers, dates_dim) -> DataFrame:
         F.sum("price_paid").alias("paid"),
     )
     # Both sides have one row per customer and week, so the rows of a week meet in neighbours.
+    # A given number of parts: small rows must not be put together, as their weeks are many.
+    parts = int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     same_week = Window.partitionBy("customer_id", "week")
     in_life = Window.partitionBy("customer_id").orderBy("week")
     moved = (
         starts.unionByName(weekly, allowMissingColumns=True)
-        .repartition("customer_id")
+        .repartition(parts, "customer_id")
         .withColumns(
             {
                 **{c: F.max(c).over(same_week) for c in ("placed", "before", "discounts", "paid")},
@@ -171,20 +175,30 @@ def customer_info(orders, conversions, customers, dates_dim) -> DataFrame:
             "conversion_cumulative_revenue": F.coalesce(F.sum("paid").over(in_conversion), zero),
         }
     )
-    dense = spans.select("*", F.posexplode(F.sequence("week", "until")).alias("_pos", "_week")).drop("week")
+    typed = lambda c: c.cast(amounts) if amounts else c
+    flat = spans.select(
+        "customer_id",
+        *[F.col(f"conversion.{c}") for c in details if c != "first_order_total_paid"],
+        typed(F.col("conversion.first_order_total_paid")).alias("first_order_total_paid"),
+        "conversion.start_week",
+        "week",
+        "until",
+        F.coalesce("placed", F.lit(0)).alias("placed"),
+        *[typed(F.coalesce(c, zero)).alias(c) for c in ("before", "discounts", "paid")],
+        *[typed(F.col(c)).alias(c) for c in ("conversion_cumulative_revenue", "lifetime_cumulative_revenue")],
+    )
+    dense = flat.select("*", F.posexplode(F.sequence("week", "until")).alias("_pos", "_week")).drop("week")
     happened = F.col("_pos") == 0
-    only = lambda c, other: F.when(happened, F.coalesce(c, other)).otherwise(other)
+    only = lambda c, other: F.when(happened, F.col(c)).otherwise(other)
+    nothing = typed(zero)
     filled = dense.select(
-        "customer_id",
-        "conversion.*",
+        "*",
         F.col("_week").alias("week"),
-        (F.col("_week") - F.col("conversion.start_week") + 1).alias("week_counter"),
-        only(F.col("placed"), F.lit(0)).alias("orders_placed"),
-        only(F.col("before"), zero).alias("total_before_discounts"),
-        only(F.col("discounts"), zero).alias("total_discounts"),
-        only(F.col("paid"), zero).alias("total_paid_in_week"),
-        "conversion_cumulative_revenue",
-        "lifetime_cumulative_revenue",
+        (F.col("_week") - F.col("start_week") + 1).alias("week_counter"),
+        only("placed", F.lit(0)).alias("orders_placed"),
+        only("before", nothing).alias("total_before_discounts"),
+        only("discounts", nothing).alias("total_discounts"),
+        only("paid", nothing).alias("total_paid_in_week"),
     )
     return filled.join(labels, "week", "left").select(*CUSTOMER_INFO.names)
 

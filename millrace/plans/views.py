@@ -115,8 +115,15 @@ def fact(spark, folder):
         .groupBy(F.col("l_orderkey").alias("order_number"))
         .agg(
             F.min("l_partkey").alias("fk_product"),
-            F.sum(price * rate).cast("decimal(14,2)").alias("discount_value"),
-            F.sum(price * (F.lit(1) - rate)).cast("decimal(14,2)").alias("price_paid"),
+            F.sum(F.when(rate.isNotNull(), price)).alias("_price"),
+            F.sum(price * rate).alias("_off"),
+        )
+        # exact sums of decimals: what is paid is the price less the discount, rounded at the end
+        .select(
+            "order_number",
+            "fk_product",
+            F.col("_off").cast("decimal(14,2)").alias("discount_value"),
+            (F.col("_price") - F.col("_off")).cast("decimal(14,2)").alias("price_paid"),
         )
     )
     head = table(spark, folder, "orders").select(

@@ -10,12 +10,14 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import dates, text, values as x
 from millrace.operators import (
     cleaning, cohort, detections, evaluation, experiment, forecast, joins, ranking, screens, sentiment, signals, stats,
     sweeps, trades,
 )
+from millrace.plans import customers, views
 from millrace.sources import files
 
 
@@ -70,6 +72,29 @@ def test_ids_out_of_date_order(spark):
     assert set(early["conversion_number"]) == {2} and len(early) == 3  # numbered by id, ended by date
 
 
+def test_customer_weeks_dealt_evenly(spark):
+    args = star(spark, [(1, 0, "o1"), (2, 21, "o2")], [("o1", 0, 10.0), ("o2", 22, 7.0), ("o3", 23, 1.5)])
+    exact, cast = cohort.customer_info(*args), cohort.customer_info(*args, "double")
+    # small rows are not put together again before they become many weeks
+    assert "REPARTITION_BY_NUM" in exact._jdf.queryExecution().executedPlan().toString()
+    amounts = [f.name for f in cohort.CUSTOMER_INFO if isinstance(f.dataType, T.DecimalType)]
+    assert {t for n, t in cast.dtypes if n in amounts} == {"double"} and cast.columns == exact.columns
+    assert rows(cast, *cast.columns) == rows(exact.withColumns({c: F.col(c).cast("double") for c in amounts}), *cast.columns)
+
+
+def test_lines_are_added_up_once(spark, tmp_path):
+    lines = [(1, 7, 10.05, 0.1), (1, 5, 0.35, 0.5), (1, 9, 99.0, None), (2, 4, None, 0.1)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_extendedprice double, l_discount double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(i, 1, "5-LOW", dt.datetime(2020, 1, 5 + i)) for i in (1, 2, 3)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderpriority string, o_orderdate timestamp_ntz").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, "a", "b")], "c_custkey long, c_name string, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    got = views.fact(spark, str(tmp_path)).select("order_number", "fk_product", *[F.col(c).cast("string") for c in ("discount_value", "price_paid")])
+    # 1.0050 + 0.1750 off and 9.0450 + 0.1750 paid; a line without a discount counts in neither
+    assert rows(got, *got.columns) == [(1, 5, "1.18", "9.22"), (2, 4, "0.00", "0.00"), (3, None, "0.00", "0.00")]
+    plan = customers.q1(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "l_extendedprice" not in plan and "lineitem.parquet" not in plan  # read by the written facts alone
+
+
 def test_write_customer_info(spark):
     df = cohort.customer_info(*star(spark, [(1, 0, "o1")], [("o1", 0, 10.0)]))
     cohort.write_customer_info(df, "customer_info_test", mode="overwrite")
