@@ -22,14 +22,22 @@ def _match(left, right, pairs, null_safe):
     return reduce(lambda x, y: x & y, [one(a, b) for a, b in pairs])
 
 
+def order_heads(orders, customers) -> DataFrame:
+    """Orders with their customer."""
+    return orders.join(customers, "customer_id", "left")
+
+
+def item_lines(items, products, sellers) -> DataFrame:
+    """Items with product and seller."""
+    return items.join(products, "product_id", "left").join(sellers, "seller_id", "left")
+
+
 def order_items(orders, items, customers, products, sellers, reviews=None) -> DataFrame:
-    """Item-grain table; orders without items survive, reviews are joined as they are."""
-    out = (
-        orders.join(items, "order_id", "left")
-        .join(customers, "customer_id", "left")
-        .join(products, "product_id", "left")
-        .join(sellers, "seller_id", "left")
-    )
+    """Item-grain table; orders without items survive, reviews are joined as they are.
+
+    Customers meet the orders and not the items, which are several times as many.
+    """
+    out = order_heads(orders, customers).join(item_lines(items, products, sellers), "order_id", "left")
     return out.join(reviews, "order_id", "left") if reviews is not None else out
 
 

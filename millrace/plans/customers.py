@@ -96,7 +96,7 @@ def q_range_join(spark, folder):
 FROM v_items""",
 )
 def q_tenure(spark, folder):
-    return cohort.tenure(v.items(spark, folder)).select(
+    return v.tenured_items(spark, folder).select(
         "order_id", "order_item_id", "seller_id", "product_id", "price", "quantity",
         "customer_tenure_days", "order_deliver_days",
     )
@@ -127,7 +127,7 @@ v.SQL["v_summary"] = SUMMARY.strip().replace("WITH t AS", "WITH t AS") + (
 
 
 def summary(spark, folder):
-    return cohort.order_summary(cohort.tenure(v.items(spark, folder)))
+    return cohort.order_summary(v.tenured_items(spark, folder))
 
 
 @query(

@@ -264,6 +264,16 @@ def items(spark, folder):
     return order_items(*market_tables(spark, folder)).drop("customer_id")
 
 
+def tenured_items(spark, folder):
+    """Items with tenure and days to delivery.  Tenure is the orders' own, so the items are read once."""
+    from ..operators import cohort, joins
+
+    orders, lines, customers, products, sellers = market_tables(spark, folder)
+    heads = cohort.customer_tenure(joins.order_heads(orders, customers))
+    items = heads.join(joins.item_lines(lines, products, sellers), "order_id", "left")
+    return cohort.delivered(items).drop("customer_id")
+
+
 # -- rental calendar -----------------------------------------------------------------------
 
 SQL["v_calendar"] = """

@@ -561,3 +561,24 @@ def test_delivery_days_without_a_second_pass(spark):
         (r["order_id"], r["order_deliver_days"]) for r in cohort.tenure(items).collect()
     }
     assert "Exchange" not in slim._jdf.queryExecution().executedPlan().toString()
+
+
+def test_order_summary_reads_the_items_once(spark):
+    folder = "/root/testdata/sf0.001"
+    plan = customers.summary(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet [l_orderkey") == 1  # tenure comes from the orders alone
+    slim, full = views.tenured_items(spark, folder), cohort.tenure(views.items(spark, folder))
+    assert sorted(slim.columns) == sorted(full.columns)
+    assert slim.count() == full.count() and slim.select(*full.columns).exceptAll(full).count() == 0
+
+
+def test_order_summary_counts_sellers_without_nulls(spark):
+    schema = "order_id string, customer_unique_id string, seller_id string, price double, review_score double"
+    data = [("o1", "c", "s", 1.0, None), ("o1", "c", "s", 2.0, None), ("o1", "c", "t", 3.0, 1.0), ("o1", "c", None, None, 2.0), ("o2", "c", None, None, None)]
+    items = spark.createDataFrame(data, schema).withColumns(
+        {c: F.lit(None).cast("string") for c in ("product_category_name", "seller_state", "customer_state")}
+    ).withColumns({"order_value": F.lit(9.0), "customer_tenure_days": F.lit(0), "order_deliver_days": F.lit(1)})
+    out = cohort.order_summary(items)
+    assert rows(out, "order_id", "n_items", "seller_count") == [("o1", 4, 2), ("o2", 1, 0)]
+    # one pair of aggregates; a distinct count beside the modes makes it four
+    assert out._jdf.queryExecution().executedPlan().toString().count("ObjectHashAggregate") == 2
