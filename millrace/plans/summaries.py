@@ -347,17 +347,20 @@ v.SQL["v_assign"] = f"""SELECT customer_unique_id, CASE WHEN {UNIT} < 0.5 THEN '
 v.SQL["v_grouped"] = 'SELECT v_summary.*, "group" FROM v_summary JOIN v_split USING (customer_unique_id)'
 
 
-def split(spark, folder):
-    return experiment.stratified_split(summary(spark, folder), "customer_unique_id", "product_category", order=["order_id"])
+def split(orders):
+    return experiment.stratified_split(orders, "customer_unique_id", "product_category", order=["order_id"])
 
 
-def grouped(spark, folder):
-    return experiment.with_groups(summary(spark, folder), split(spark, folder), "customer_unique_id")
+def grouped(spark, folder, *measures):
+    """Orders with their group.  The orders are read for the split and for the measures: written once."""
+    wanted = ["order_id", "customer_unique_id", "product_category", *measures]
+    orders = stored(summary(spark, folder).select(*wanted), "orders")
+    return experiment.with_groups(orders, split(orders), "customer_unique_id")
 
 
 @query("q_stratified_split", "SELECT * FROM v_split")
 def q_stratified_split(spark, folder):
-    return split(spark, folder)
+    return split(summary(spark, folder))
 
 
 @query("q_assign", "SELECT * FROM v_assign")
@@ -371,7 +374,7 @@ def q_assign(spark, folder):
  round(avg((coalesce(order_value > 100, false))::int), 6) AS pct_large_orders FROM v_grouped GROUP BY 1""",
 )
 def q_balance(spark, folder):
-    out = experiment.balance(exact(grouped(spark, folder), "order_value"))
+    out = experiment.balance(exact(grouped(spark, folder, "order_value", "customer_tenure_days", "n_items"), "order_value"))
     return out.withColumns(
         {"avg_tenure_days": F.round("avg_tenure_days", 4), "avg_items_per_ord": F.round("avg_items_per_ord", 4), "pct_large_orders": F.round("pct_large_orders", 6)}
     )
@@ -404,7 +407,7 @@ p AS (SELECT t, df, near, exp(lgamma(e.a + e.b) - lgamma(e.a) - lgamma(e.b) + e.
 SELECT 'review_score' AS measure, round(t, 6) AS t, round(df, 4) AS df, round(CASE WHEN near THEN i ELSE 1 - i END, 6) AS p FROM p""",
 )
 def q_welch(spark, folder):
-    out = stats.welch(grouped(spark, folder), "review_score")
+    out = stats.welch(grouped(spark, folder, "review_score"), "review_score")
     return out.withColumns({"t": F.round("t", 6), "df": F.round("df", 4), "p": F.round("p", 6)})
 
 
@@ -413,7 +416,7 @@ def q_welch(spark, folder):
     f"""{WELCH.replace('review_score', 'order_deliver_days')} SELECT 'order_deliver_days' AS measure, round((mb - ma) / sqrt((va + vb) / 2), 6) AS d FROM a""",
 )
 def q_cohens_d(spark, folder):
-    out = stats.cohens_d(grouped(spark, folder), "order_deliver_days", lower_is_better=True)
+    out = stats.cohens_d(grouped(spark, folder, "order_deliver_days"), "order_deliver_days", lower_is_better=True)
     return out.withColumn("d", F.round("d", 6))
 
 

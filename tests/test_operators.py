@@ -17,7 +17,7 @@ from millrace.operators import (
     cleaning, cohort, detections, evaluation, experiment, forecast, joins, ranking, screens, sentiment, signals, stats,
     sweeps, trades,
 )
-from millrace.plans import customers, views
+from millrace.plans import customers, summaries, views
 from millrace.sources import files
 
 
@@ -582,3 +582,14 @@ def test_order_summary_counts_sellers_without_nulls(spark):
     assert rows(out, "order_id", "n_items", "seller_count") == [("o1", 4, 2), ("o2", 1, 0)]
     # one pair of aggregates; a distinct count beside the modes makes it four
     assert out._jdf.queryExecution().executedPlan().toString().count("ObjectHashAggregate") == 2
+
+
+def test_groups_read_the_items_once(spark):
+    folder = "/root/testdata/sf0.001"
+    for query in (summaries.q_balance, summaries.q_category_share, summaries.q_welch, summaries.q_cohens_d):
+        plan = query(spark, folder)._jdf.queryExecution().executedPlan().toString()
+        assert "l_orderkey" not in plan  # split and measures both come from the written orders
+    got = summaries.grouped(spark, folder, "n_items")
+    orders = customers.summary(spark, folder)
+    want = experiment.with_groups(orders, summaries.split(orders), "customer_unique_id").select(*got.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
