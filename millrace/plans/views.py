@@ -265,7 +265,12 @@ def items(spark, folder):
 
 
 def tenured_items(spark, folder):
-    """Items with tenure and days to delivery.  Tenure is the orders' own, so the items are read once."""
+    """Items with tenure and days to delivery, left in parts by order.
+
+    Tenure is the orders' own, so the items are read once, and customers meet
+    the orders, not the items.  What is grouped by seller or product is better
+    off with :func:`items`, whose last joins are those.
+    """
     from ..operators import cohort, joins
 
     orders, lines, customers, products, sellers = market_tables(spark, folder)
