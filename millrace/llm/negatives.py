@@ -199,8 +199,11 @@ def _scans(table, searched, place):
     packs = packs.groupBy("dim", "pack").agg(F.collect_list(F.struct(*searched.columns)).alias("anchors"))
     parts = max(1, min(table.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))) if count else 1
     group = F.pmod(F.xxhash64("block"), F.lit(parts))
-    left = packs.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))).repartition(parts, "group")
-    pairs = left.join(table.withColumn("group", group).repartition(parts, "group"), ["group", "dim"])
+    left = packs.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    # Merged by hint: the copies of the anchors are many times what they are estimated at, and must not be broadcast.
+    # Both sides are dealt by all keys of the join, so they are dealt once.
+    left, right = (x.repartition(parts, "group", "dim") for x in (left, table.withColumn("group", group)))
+    pairs = left.hint("merge").join(right, ["group", "dim"])
 
     def run(batches):
         held = {}

@@ -94,3 +94,14 @@ def test_scan_reads_less_than_all_dimensions():
     exact = anchor @ data
     assert set(np.argsort(-exact)[:5]) <= set(at) and (score == exact[at]).all()
     assert sizes[-1] < 20 and sizes[2] < 1_000
+
+
+def test_copies_of_the_anchors_are_not_broadcast(spark):
+    rows = make(spark, [(i, [f32(i % 7), f32(i % 5)], i % 3) for i in range(200)])
+    table = negatives.stored(negatives.blocks(rows, "vec_id", F.col("label"), "embedding", 256), "blocks")
+    found = negatives._scans(table, negatives.stored(negatives.anchors(table, 100), "anchors"), lambda x: negatives.Nearest(x, 5))
+    assert found.count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [group" in plan and "BroadcastHashJoin [group" not in plan
+    # each side is dealt out once
+    assert plan.split("Initial Plan")[-1].count("hashpartitioning(group") == 2
