@@ -593,3 +593,27 @@ def test_groups_read_the_items_once(spark):
     orders = customers.summary(spark, folder)
     want = experiment.with_groups(orders, summaries.split(orders), "customer_unique_id").select(*got.columns)
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_gram_sets_are_compact_and_keep_all_letters(spark):
+    texts = ["", "ab", None, "abcabc abd", "größe ģ ж", "日本語の見出し", "a\U0001f600b\U0001f600c", "same ab日"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: bytes(r["g"]) for r in df.select("i", sentiment._grams("t").alias("g")).collect()}
+    for i, t in enumerate(texts):
+        code = lambda x: (ord(x[0]) << 42) | (ord(x[1]) << 21) | ord(x[2])
+        want = sorted({code((t or "")[k : k + 3]) for k in range(len(t or "") - 2)})
+        assert sentiment._set(got[i]).tolist() == want
+    assert len(got[3]) == 4 * len(set(texts[3][k : k + 3] for k in range(len(texts[3]) - 2)))
+
+
+def test_only_sets_of_like_size_are_compared():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 40, n)) for n in np.repeat([20, 200, 2_000], 100)]
+    own = sentiment._Sets([*sets, *[s[:-1] for s in sets]], sentiment.SIMILAR)
+    met, near = [], own.near
+    own.near = lambda rows, others: met.append(len(rows) * len(others)) or near(rows, others)
+    rows = np.arange(300)
+    assert own.open(rows, np.arange(300, 600)).tolist() == []
+    assert own.open(rows[:100], np.arange(400, 600)).tolist() == rows[:100].tolist()
+    # 300 x 300 and 100 x 200 pairs in all
+    assert sum(met) <= 3 * 100 * 200
