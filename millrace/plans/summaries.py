@@ -206,27 +206,41 @@ def sellers(spark, folder):
 
 
 def scored(spark, folder):
-    out = ranking.priority(sellers(spark, folder))
-    return out.withColumn("priority_score", F.round("priority_score", 9))
+    return rounded_priority(sellers(spark, folder))
 
 
-def to_rank(spark, folder):
+def rounded_priority(perf):
+    return ranking.priority(perf).withColumn("priority_score", F.round("priority_score", 9))
+
+
+#: What is ranked, and what the sellers' scores are made of.
+RANKED = [*v.ITEM_TIE, "product_id", "seller_id", "customer_unique_id", "review_score", "order_deliver_days"]
+
+
+def with_score(items, scores):
     """Order rows with the score of their seller; one seller in ten is left without."""
-    scores = scored(spark, folder).select(
+    scores = scores.select(
         "seller_id", F.when(F.col("seller_id") % 10 != 0, F.col("priority_score")).alias("priority_score")
     )
-    columns = [*v.ITEM_TIE, "product_id", "seller_id", "customer_unique_id", "review_score", "order_deliver_days"]
-    items = delivered(spark, folder).select(*columns)
     return items.join(scores, "seller_id", "left")
 
 
-def ranked(spark, folder):
-    # A full ranking of groups of any size reads its input five times; the joined items are written once instead.
-    return ranking.rank_first(stored(to_rank(spark, folder), "items"), "product_id", "priority_score", v.ITEM_TIE)
+def to_rank(spark, folder):
+    return with_score(delivered(spark, folder).select(*RANKED), scored(spark, folder))
+
+
+def delivered_items(spark, folder):
+    """Order rows, joined and written once: the sellers' scores and the ranking read them."""
+    return stored(delivered(spark, folder).select(*RANKED), "items")
+
+
+def ranked(items):
+    scores = rounded_priority(stored(ranking.seller_perf(items), "sellers"))
+    return ranking.rank_first(with_score(items, scores), "product_id", "priority_score", v.ITEM_TIE, sizes=items)
 
 
-def filled(spark, folder):
-    return ranking.fill_worst(ranked(spark, folder), "product_id")
+def filled(items):
+    return ranking.fill_worst(ranked(items), "product_id", sizes=items)
 
 
 RANK_COLS = ["order_id", "order_item_id", "product_id", "seller_id", "price", "rank"]
@@ -251,12 +265,12 @@ def q_priority(spark, folder):
 
 @query("q_rank_first", f"SELECT {RANK_SQL} FROM v_ranked")
 def q_rank_first(spark, folder):
-    return ranked(spark, folder).select(*RANK_COLS)
+    return ranked(delivered_items(spark, folder)).select(*RANK_COLS)
 
 
 @query("q_rank_fill_worst", f"SELECT {RANK_SQL} FROM v_filled")
 def q_rank_fill_worst(spark, folder):
-    return filled(spark, folder).select(*RANK_COLS)
+    return filled(delivered_items(spark, folder)).select(*RANK_COLS)
 
 
 TOPK = "SELECT product_id, list(seller_id ORDER BY rank, seller_id) AS topk FROM (SELECT DISTINCT product_id, seller_id, rank FROM v_filled WHERE rank <= 3) GROUP BY product_id"
@@ -428,9 +442,11 @@ SELECT "group", round(avg(review_score), 6) AS mean_review_score, round(stddev_s
  round(avg(order_deliver_days), 6) AS mean_order_deliver_days, round(stddev_samp(order_deliver_days), 6) AS std_order_deliver_days FROM e WHERE sim = seller_id GROUP BY 1""",
 )
 def q_counterfactual(spark, folder):
-    rows = filled(spark, folder)
-    groups = experiment.assign(v.items(spark, folder), "customer_unique_id")
+    items = delivered_items(spark, folder)
+    rows = filled(items)
+    groups = experiment.assign(items, "customer_unique_id")
     lists = ranking.topk_list(rows, "product_id", "seller_id", "rank", 3)
-    listed = experiment.with_groups(rows, groups, "customer_unique_id").join(lists, "product_id", "left")
+    # the lists first: the rows already lie by product
+    listed = experiment.with_groups(rows.join(lists, "product_id", "left"), groups, "customer_unique_id")
     out = agg.mean_std(experiment.counterfactual(listed), ["group"], ["review_score", "order_deliver_days"])
     return out.withColumns({c: F.round(c, 6) for c in out.columns if c != "group"})

@@ -130,3 +130,29 @@ def test_rsi_and_atr_edges(spark):
     assert out["atr"].isna().sum() == 13
     down = timeseries.rsi(bars.withColumn("close", -F.col("close"))).orderBy("date").toPandas()["rsi"]
     assert down[:14].isna().all() and (down[14:].astype(float) == 0).all()
+
+
+def test_rank_of_small_groups_shuffles_rows_once(spark):
+    rows = [(p, float(i % 5) if i % 4 else None, i, f"x{i}") for p in (None, "a", "b") for i in range(40)]
+    df = spark.createDataFrame(rows, "p string, s double, id int, rest string")
+    ranks = ranking.rank_first(df, "p", "s", ["id"])
+    got = {(r["p"], r["id"]): r["rank"] for r in ranks.collect()}
+    final = ranks._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert sum("Exchange hashpartitioning(p" in x for x in final.splitlines()) == 1
+    want = {}
+    for p in (None, "a", "b"):
+        known = sorted(((-s, i) for q, s, i, _ in rows if q == p and s is not None))
+        want |= {(p, i): None for q, s, i, _ in rows if q == p and s is None} | {(p, i): n for n, (_, i) in enumerate(known, 1)}
+    assert got == want
+
+
+def test_large_and_small_groups_rank_alike(spark, monkeypatch):
+    rows = [(p, float(i % 3) if i % 5 else None, i) for p, n in ((None, 30), ("a", 30), ("b", 4), ("c", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "p string, s double, id int")
+    found = []
+    for large in (0, 10, 100):
+        monkeypatch.setattr(ranking, "LARGE", large)
+        first = ranking.rank_first(df, "p", "s", ["id"])
+        found.append([sorted(map(tuple, x.collect()), key=str) for x in (first, ranking.fill_worst(first, "p"), ranking.fill_worst(first, "p", sizes=df))])
+    assert found[0] == found[1] == found[2]
+    assert found[0][1] == found[0][2]
